@@ -6,8 +6,11 @@ coordinates left out, which enumerates the one allowed error. So all pairs under
 
 Equal sets are one class first. Then, for each key, every class is compared with the key's first class and with the
 one before it; links are confirmed on full sets and joined to components. Keys whose classes are still in several
-components then give all pairs across these under the signature threshold, which are confirmed too. So each candidate
-pair is confirmed, refuted, or already connected, and no key's rows meet in memory but in bounded blocks.
+components then give all pairs across these, which are compared too. So each candidate pair is compared or already
+connected, and no key's rows meet in memory but in bounded blocks.
+
+A pair is compared by a wide signature of K + MORE coordinates first, which refutes it if over WIDE_APART differ; that
+a pair at the least similarity does so has a probability under 1e-7 (Chernoff). All others are confirmed on full sets.
 
 Edge cases: null, empty and blank texts have no shingles and are their own component; so is a null doc_id (component
 null, kept); rows that repeat a doc_id with the same text share one result; an empty table gives an empty table; other
@@ -30,10 +33,12 @@ from .textbytes import MIX, Words, blocks, list_column, mixed, shingles, texts_o
 WORDS, PERCENT = 5, 85
 K, BITS, CHUNKS = 128, 8, 22
 MOST_APART = 2 * CHUNKS - 1
+MORE, WIDE_APART = 256, 100
+WIDE = K + MORE
 BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 2048
 _draw = np.random.default_rng(20240229)
-_A = _draw.integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_B = _draw.integers(0, 1 << 32, K, dtype=np.uint64).astype(np.uint32)
+_A = _draw.integers(1, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_B = _draw.integers(0, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32)
 _CHUNK = np.arange(K) * CHUNKS // K
 
 
@@ -48,14 +53,14 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """n x K coordinates; zeros for an empty set."""
-    out = np.zeros((len(counts), K), np.uint8)
+    """n x WIDE coordinates; zeros for an empty set."""
+    out = np.zeros((len(counts), WIDE), np.uint8)
     some = np.flatnonzero(counts)
     if len(some):
         start = (np.cumsum(counts) - counts)[some]
         x = (sets >> np.uint64(32)).astype(np.uint32)
         h = np.empty_like(x)
-        for k in range(K):
+        for k in range(WIDE):
             np.multiply(x, _A[k], out=h)
             np.add(h, _B[k], out=h)
             m = np.minimum.reduceat(h, start)
@@ -92,14 +97,14 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _matrix(column: pa.Array) -> np.ndarray:
     data, _ = texts_of(column)
-    return data.reshape(-1, K)
+    return data.reshape(-1, WIDE)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), 4096):
             part = batch.slice(at, 4096)
-            keys = keys_of(_matrix(part.column(1)))
+            keys = keys_of(_matrix(part.column(1))[:, :K])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), K))], ["key", "rep"])
 
 
@@ -130,7 +135,8 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         comp, rep = t.column("component").to_numpy(), t.column("rep").to_numpy()
-        sig, side = np.ascontiguousarray(_matrix(t.column("sig").combine_chunks()).T), t.column("side").to_numpy()
+        wide, side = _matrix(t.column("sig").combine_chunks()), t.column("side").to_numpy()
+        sig = np.ascontiguousarray(wide[:, :K].T)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         theirs = np.ascontiguousarray(sig[:, right])
         for at in range(0, len(left), 128):
@@ -140,7 +146,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.not_equal(sig[k, mine][:, None], theirs[k], out=differ)
                 np.add(apart, differ.view(np.uint8), out=apart)
             i, j = np.nonzero((apart <= MOST_APART) & (comp[mine][:, None] != comp[right]))
-            a, b = rep[mine[i]], rep[right[j]]
+            close = [np.zeros(0, bool)]
+            for k in range(0, len(i), 8192):
+                close.append((wide[mine[i[k : k + 8192]]] != wide[right[j[k : k + 8192]]]).sum(1) <= WIDE_APART)
+            close = np.concatenate(close)
+            a, b = rep[mine[i[close]]], rep[right[j[close]]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
 
     def whole(t: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -162,6 +172,15 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole(rest)
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b, signature of a, signature of b) whose wide signatures are close."""
+    for batch in batches:
+        for at in range(0, len(batch), 8192):
+            part = batch.slice(at, 8192)
+            near = (_matrix(part.column(2)) != _matrix(part.column(3))).sum(1) <= WIDE_APART
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(near)), part.column(1).filter(pa.array(near))], ["a", "b"])
+
+
 def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
@@ -181,8 +200,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     by_key = classes.select("rep", "sig").mapInArrow(_keys, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
     shared = kept(by_key.mapInArrow(_shared, "key long, rep long, first long, before long"), "shared")
     first = shared.select(F.col("first").alias("a"), F.col("rep").alias("b")).union(shared.select(F.col("before").alias("a"), F.col("rep").alias("b"))).distinct()
-    pairs = kept(first, "pairs")
-    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    sig_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
+    tested = first.join(sig_of("a"), "a").join(sig_of("b"), "b").select("a", "b", "sig_a", "sig_b")
+    pairs = kept(tested.mapInArrow(_close, "a long, b long"), "pairs")
+    involved = shared.select(F.col("rep").alias("doc_id")).union(shared.select(F.col("first").alias("doc_id"))).distinct()
     sets = kept(base.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
     links = kept(confirm(pairs, sets), "links")
     comp = kept(components(links), "components")
