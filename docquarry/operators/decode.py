@@ -78,5 +78,5 @@ def decode(docs, r: Resolved, columns: list[str] | None = None):
     kinds = dict(r.columns)
     v = F.try_parse_json("_source")
     rest = F.try_parse_json(_rest(frozenset(r.kinds))(F.col("_source")))
-    made = {n: F.col("_id") if n == "_id" else rest if n == "_unmapped_" else coerce(_get(v, n), kinds[n], n, r) for n in wanted}
+    made = {n: F.col(n) if n in ("_id", "_source") else rest if n == "_unmapped_" else coerce(_get(v, n), kinds[n], n, r) for n in wanted}
     return docs.select(*[c.alias(n) for n, c in made.items()])
