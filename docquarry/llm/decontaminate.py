@@ -3,8 +3,8 @@
 Texts and benchmark items become sequences of terms: numbers, names (capitalised words that do not begin a sentence)
 and units give way to typed placeholders; other words are lower-cased letters and digits without punctuation. Windows
 of WINDOW terms that share a hash are joined; placeholders' values are slots. A window pair is consistent if the
-document's value for each of the item's values is one and the same, and the other way round: a re-parameterised
-question renames consistently. A document is contaminated by an item if consistent windows cover at least COVER of
+document's value for each of the item's values is one and the same, and the other way round, and so is
+an alignment over all its windows: a re-parameterised question renames consistently. A document is contaminated by an item if consistent windows cover at least COVER of
 the item's windows, those in exactly the item's order that lie on one alignment.
 
 Items with fewer than WINDOW terms are one window of their own length, if that is SHORTEST terms at least.
@@ -144,6 +144,15 @@ def consistent(a: Terms, x: np.ndarray, b: Terms, y: np.ndarray, size: int) -> n
     return ok
 
 
+def one_to_one(items: Items, t: Terms, windows: np.ndarray) -> bool:
+    """Whether the slots of all windows of one alignment together go one to one."""
+    z = min(WINDOW, int(np.diff(items.terms.first)[windows[0, 1]]))
+    y = np.unique(windows[:, 3][:, None] + np.arange(z))
+    y = y[items.terms.kind[y] > 0]
+    pairs = set(zip(items.terms.value[y].tolist(), t.value[y + windows[0, 2]].tolist(), strict=True))
+    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+
+
 def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each contaminated pair: text, item, share of the item's windows, whether slots differ."""
     t = terms(data, offsets)
@@ -178,11 +187,13 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     exact = np.add.reduceat(m[:, 4], head) if len(head) else none
     doc, item = m[head, 0], m[head, 1]
     share = count / items.windows[item] if len(head) else np.zeros(0)
+    ends = np.append(head, len(m))
+    ok = np.array([s >= COVER and one_to_one(items, t, m[ends[k] : ends[k + 1]]) for k, s in enumerate(share.tolist())], bool)
+    doc, item, share, count, exact = doc[ok], item[ok], share[ok], count[ok], exact[ok]
     order = np.lexsort((-share, item, doc))  # the best alignment of each pair
     doc, item, share, other = doc[order], item[order], share[order], (exact < count)[order]
     best = np.ones(len(doc), bool)
     best[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-    best &= share >= COVER
     return doc[best], item[best], share[best], other[best]
 
 

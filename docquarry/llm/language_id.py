@@ -113,8 +113,8 @@ def lattice(trie: Trie, data: np.ndarray, start: np.ndarray, size: np.ndarray) -
     begin, length, piece = map(np.concatenate, (begin, length, piece))
     offset = begin - start[word[begin]]
     begin = begin + word[begin]
-    order = np.lexsort((length, offset))
-    key = (offset * 256 + length)[order]
+    order = np.lexsort((piece < 0, length, offset))
+    key = (offset * 512 + length * 2 + (piece < 0))[order]
     cut = np.flatnonzero(np.diff(key)) + 1
     b, e, p = begin[order], (begin + length)[order], piece[order]
     groups = list(zip(np.split(b, cut), np.split(e, cut), np.split(p, cut), strict=True)) if len(b) else []
