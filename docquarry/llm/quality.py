@@ -23,7 +23,7 @@ from .textbytes import Words, blocks, texts_of
 
 #: Bounds of the sample; words of a passage.
 PER_LABEL, MOST_CHARS, PASSAGE = 2000, 12_000, 48
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, FIT_TEXTS = 1 << 20, 200
 CLASSES, BUCKETS = 12, 64
 _CLASS = np.full(256, 11, np.uint8)  # other control signs
 for _k, _signs in enumerate((range(97, 123), range(65, 91), range(48, 58), b" ", b"\n\r", b"\t", b".,;:", b"!?", b"'\"()-", b"|/\\_<>[]{}=", b"#$%&*+@^~`")):
@@ -105,7 +105,11 @@ def fit(texts: list[str], labels: list[int], steps: int = 250, hidden: int = 24,
     y = np.asarray(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return GatedAttention(np.array([y.mean() if len(y) else 0.5]), np.ones(1), {})
-    x, doc = encode(*texts_of(pa.array(texts, pa.large_string())))
+    made = []
+    for a in range(0, len(texts), FIT_TEXTS):
+        features, of = encode(*texts_of(pa.array(texts[a : a + FIT_TEXTS], pa.large_string())))
+        made.append((features, of + a))
+    x, doc = (np.concatenate(z) for z in zip(*made, strict=True))
     n = len(y)
     r = np.random.default_rng(seed)
     p = {"w1": r.normal(0, WIDTH**-0.5, (WIDTH, hidden)), "b1": np.zeros(hidden), "v": r.normal(0, hidden**-0.5, (hidden, gate)), "u": r.normal(0, hidden**-0.5, (hidden, gate)), "a": r.normal(0, gate**-0.5, gate), "o": r.normal(0, hidden**-0.5, hidden), "c": np.zeros(1)}

@@ -25,7 +25,7 @@ from .textbytes import LOWER, MIX, blocks, mixed, range_hashes, texts_of
 PER_LABEL, MOST_CHARS, MOST_WORDS, LEAST_DOCS = 2500, 12_000, 60_000, 3
 #: Lengths in bytes of words' beginnings; how many standard deviations more toxic documents than by chance a word needs.
 BEGINNINGS, LEAST_Z = (4, 5, 6, 7), 4.0
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, FIT_TEXTS = 1 << 20, 200
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _STOP = np.zeros(256, bool)
@@ -101,31 +101,50 @@ def fit(texts: list[str], labels: list[int], steps: int = 200, rate: float = 0.1
     empty = NoisyOr(np.zeros(0, np.uint64), np.zeros(0), -40.0)
     if not texts:
         return empty
-    s = sentences(*texts_of(pa.array(texts, pa.large_string())))
     y = np.asarray(labels, float)
-    if not len(s.word) or not y.any():
+    if not y.any():
         return empty
-    order = np.lexsort((s.doc[s.of], s.word))
-    word, doc = s.word[order], s.doc[s.of][order]
-    new = np.ones(len(word), bool)
-    new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
-    words, at, seen = np.unique(word[new], return_inverse=True, return_counts=True)
-    toxic, chance = np.bincount(at, y[doc[new]], len(words)), seen * y.mean()
+    # In parts, and twice: first every word's documents are counted, then the chosen words' places are gathered
+    cuts = [(a, min(a + FIT_TEXTS, len(texts))) for a in range(0, len(texts), FIT_TEXTS)]
+    part = lambda a, b: sentences(*texts_of(pa.array(texts[a:b], pa.large_string())))
+    counted = []
+    for a, b in cuts:
+        s = part(a, b)
+        order = np.lexsort((s.doc[s.of], s.word))
+        word, doc = s.word[order], s.doc[s.of][order]
+        new = np.ones(len(word), bool)
+        new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
+        words, at, seen = np.unique(word[new], return_inverse=True, return_counts=True)
+        counted.append((words, seen, np.bincount(at, y[a:b][doc[new]], len(words))))
+    words, at = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
+    seen, toxic = (np.bincount(at, np.concatenate([c[k] for c in counted]), len(words)) for k in (1, 2))
+    if not len(words):
+        return empty
+    chance = seen * y.mean()
     z = (toxic - chance) / np.sqrt(chance * (1 - y.mean()) + 1e-9)
     keep = np.flatnonzero((toxic >= LEAST_DOCS) & (z >= min(LEAST_Z, np.quantile(z, 0.999))))
     words = words[np.sort(keep[np.argsort(-z[keep], kind="stable")[:MOST_WORDS]])]
-    at = np.searchsorted(words, s.word)
-    at[at == len(words)] = 0
-    known = words[at] == s.word if len(words) else np.zeros(len(s.word), bool)
-    col, row = at[known], s.of[known]
+    cols, rows, docs_of, n = [], [], [], 0
+    for a, b in cuts:
+        s = part(a, b)
+        if len(words):
+            at = np.searchsorted(words, s.word)
+            at[at == len(words)] = 0
+            known = words[at] == s.word
+            cols.append(at[known])
+            rows.append(s.of[known] + n)
+        docs_of.append(s.doc + a)
+        n += len(s.doc)
+    none = [np.zeros(0, np.int64)]
+    col, row, of_doc = np.concatenate(cols + none), np.concatenate(rows + none), np.concatenate(docs_of)
     x = np.zeros(len(words) + 1)
     x[-1] = -5.0
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, steps + 1):
-        z = x[-1] + np.bincount(row, x[col], len(s.doc))
-        total = np.bincount(s.doc, np.logaddexp(0, z), len(y))
+        z = x[-1] + np.bincount(row, x[col], n)
+        total = np.bincount(of_doc, np.logaddexp(0, z), len(y))
         up = np.where(y == 1, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)
-        dz = up[s.doc] / (1 + np.exp(-z)) / len(y)
+        dz = up[of_doc] / (1 + np.exp(-z)) / len(y)
         g = np.append(np.bincount(col, dz[row], len(words)) + decay * x[:-1], dz.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         x -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
