@@ -9,8 +9,10 @@ one before it; links are confirmed on full sets and joined to components. Keys w
 components then give all pairs across these, which are compared too. So each candidate pair is compared or already
 connected, and no key's rows meet in memory but in bounded blocks.
 
-A pair is compared by a wide signature of K + MORE coordinates first, which refutes it if over WIDE_APART differ; that
-a pair at the least similarity does so has a probability under 1e-7 (Chernoff). All others are confirmed on full sets.
+A pair is compared by odd sketches first: PARITY bits, each the parity of the shingles that fall on it. Two sketches
+differ in no more bits than the sets differ in shingles, so a pair that differs in more than the least similarity
+allows for its sizes is refuted without error. All others are confirmed on full sets. A pair that shares several keys
+is told by the first of them alone.
 
 Edge cases: null, empty and blank texts have no shingles and are their own component; so is a null doc_id (component
 null, kept); rows that repeat a doc_id with the same text share one result; an empty table gives an empty table; other
@@ -33,13 +35,16 @@ from .textbytes import MIX, Words, blocks, list_column, mixed, shingles, texts_o
 WORDS, PERCENT = 5, 85
 K, BITS, CHUNKS = 128, 8, 22
 MOST_APART = 2 * CHUNKS - 1
-MORE, WIDE_APART = 256, 100
-WIDE = K + MORE
+#: Bits of an odd sketch; bytes of coordinates, set size and sketch together.
+PARITY = 2048
+WIDE = K + 4 + PARITY // 8
 BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 2048
 _draw = np.random.default_rng(20240229)
-_A = _draw.integers(1, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_B = _draw.integers(0, 1 << 32, WIDE, dtype=np.uint64).astype(np.uint32)
+_A = _draw.integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
+_B = _draw.integers(0, 1 << 32, K, dtype=np.uint64).astype(np.uint32)
 _CHUNK = np.arange(K) * CHUNKS // K
+_BEGIN = np.searchsorted(_CHUNK, np.arange(CHUNKS))
+_COORDINATE = K - 1  # the bits of a key that name the coordinate left out; K is a power of two
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,26 +58,51 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """n x WIDE coordinates; zeros for an empty set."""
-    out = np.zeros((len(counts), WIDE), np.uint8)
+    """n x WIDE bytes: K coordinates (zeros for an empty set), the set's size, its odd sketch."""
+    n = len(counts)
+    out = np.zeros((n, WIDE), np.uint8)
+    out[:, K : K + 4] = np.asarray(counts, np.uint32)[:, None].view(np.uint8)
     some = np.flatnonzero(counts)
     if len(some):
         start = (np.cumsum(counts) - counts)[some]
         x = (sets >> np.uint64(32)).astype(np.uint32)
         h = np.empty_like(x)
-        for k in range(WIDE):
+        for k in range(K):
             np.multiply(x, _A[k], out=h)
             np.add(h, _B[k], out=h)
             m = np.minimum.reduceat(h, start)
             out[some, k] = (m ^ (m >> np.uint32(13))) & np.uint32((1 << BITS) - 1)
+        end = np.append(0, np.cumsum(counts))
+        for i in range(0, n, 1024):
+            j = min(i + 1024, n)
+            bit = np.repeat(np.arange(j - i) * PARITY, counts[i:j]) + (sets[end[i] : end[j]] & np.uint64(PARITY - 1)).astype(np.int64)
+            odd = np.bincount(bit, minlength=(j - i) * PARITY) & 1
+            out[i:j, K + 4 :] = np.packbits(odd.astype(np.uint8).reshape(-1, PARITY), axis=1)
     return out
 
 
+def possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of rows of signatures, whether the sets can be similar enough: their sizes and the least they differ by."""
+    one, two = (np.ascontiguousarray(z[:, K : K + 4]).view(np.uint32).ravel().astype(np.int64) for z in (x, y))
+    apart = np.bitwise_count(x[:, K + 4 :] ^ y[:, K + 4 :]).sum(1, dtype=np.int64)
+    return (apart * (100 + PERCENT) <= (100 - PERCENT) * (one + two)) & (100 * np.minimum(one, two) >= PERCENT * np.maximum(one, two))
+
+
 def keys_of(sig: np.ndarray) -> np.ndarray:
-    """n x K keys: for each coordinate its chunk without it."""
-    term = mixed((sig.astype(np.uint64) + np.uint64(1)) * MIX[0] + np.arange(1, K + 1, dtype=np.uint64) * MIX[1])
-    total = np.add.reduceat(term, np.searchsorted(_CHUNK, np.arange(CHUNKS)), axis=1)
-    return mixed(total[:, _CHUNK] - term + np.arange(K, dtype=np.uint64) * MIX[3]).view(np.int64)
+    """n x K keys: for each coordinate its chunk without it; the lowest bits are the coordinate."""
+    at = np.arange(K, dtype=np.uint64)
+    term = mixed((sig.astype(np.uint64) + np.uint64(1)) * MIX[0] + (at + np.uint64(1)) * MIX[1])
+    total = np.add.reduceat(term, _BEGIN, axis=1)
+    return (mixed(total[:, _CHUNK] - term + at * MIX[3]) & ~np.uint64(_COORDINATE) | at).view(np.int64)
+
+
+def first_key(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The coordinate of the first key that rows of coordinates under the threshold share."""
+    differ = x != y
+    apart = np.add.reduceat(differ, _BEGIN, axis=1, dtype=np.int64)
+    chunk = (apart <= 1).argmax(1)
+    alone = (differ & (_CHUNK == chunk[:, None])).argmax(1)
+    return np.where(apart[np.arange(len(chunk)), chunk] == 0, _BEGIN[chunk], alone)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,13 +159,13 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (key, component, class, signature, block, other block) in order of key: pairs across components under the threshold."""
+    """From rows (group, component, class, signature, side, coordinate) in order of group: pairs across components under the threshold, each told by its first key."""
     rest: pa.Table | None = None
     names = ["a", "b"]
 
     def pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         comp, rep = t.column("component").to_numpy(), t.column("rep").to_numpy()
-        wide, side = _matrix(t.column("sig").combine_chunks()), t.column("side").to_numpy()
+        wide, side, of = _matrix(t.column("sig").combine_chunks()), t.column("side").to_numpy(), t.column("coordinate").to_numpy()
         sig = np.ascontiguousarray(wide[:, :K].T)
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
         theirs = np.ascontiguousarray(sig[:, right])
@@ -146,12 +176,14 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.not_equal(sig[k, mine][:, None], theirs[k], out=differ)
                 np.add(apart, differ.view(np.uint8), out=apart)
             i, j = np.nonzero((apart <= MOST_APART) & (comp[mine][:, None] != comp[right]))
-            close = [np.zeros(0, bool)]
+            i, j = mine[i], right[j]
+            once = (side[i] != 2) | (rep[i] < rep[j])  # within a block each pair is met from both ends
+            i, j = i[once], j[once]
             for k in range(0, len(i), 8192):
-                close.append((wide[mine[i[k : k + 8192]]] != wide[right[j[k : k + 8192]]]).sum(1) <= WIDE_APART)
-            close = np.concatenate(close)
-            a, b = rep[mine[i[close]]], rep[right[j[close]]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
+                a, b = i[k : k + 8192], j[k : k + 8192]
+                told = possible(wide[a], wide[b]) & (first_key(wide[a, :K], wide[b, :K]) == of[a])
+                a, b = rep[a[told]], rep[b[told]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
 
     def whole(t: pa.Table) -> Iterator[pa.RecordBatch]:
         group = t.column("group").to_numpy()
@@ -173,11 +205,11 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs (a, b, signature of a, signature of b) whose wide signatures are close."""
+    """The pairs (a, b) of (a, b, signature of a, signature of b) that are not refuted."""
     for batch in batches:
         for at in range(0, len(batch), 8192):
             part = batch.slice(at, 8192)
-            near = (_matrix(part.column(2)) != _matrix(part.column(3))).sum(1) <= WIDE_APART
+            near = possible(_matrix(part.column(2)), _matrix(part.column(3)))
             yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(near)), part.column(1).filter(pa.array(near))], ["a", "b"])
 
 
@@ -215,8 +247,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spread = rows.join(mixed_keys, "key").join(classes.select("rep", "sig"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
     # side 2: pairs within the block; sides 0 and 1: of two blocks
     one = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda o: F.struct(F.xxhash64("key", F.least("block", o), F.greatest("block", o)).alias("group"), F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).cast("int").alias("side")))
-    cells = spread.select("component", "rep", "sig", F.inline(one)).select("group", "component", "rep", "sig", "side")
-    more = cells.repartition("group").sortWithinPartitions("group").mapInArrow(_across, "a long, b long").distinct()
+    left_out = F.col("key").bitwiseAND(F.lit(_COORDINATE)).cast("int").alias("coordinate")
+    cells = spread.select("component", "rep", "sig", left_out, F.inline(one)).select("group", "component", "rep", "sig", "side", "coordinate")
+    more = cells.repartition("group").sortWithinPartitions("group").mapInArrow(_across, "a long, b long")
     late = kept(confirm(more.join(pairs, ["a", "b"], "left_anti"), sets), "late")
     if late.limit(1).count():
         comp = kept(components(links.union(late)), "components")

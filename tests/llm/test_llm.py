@@ -122,6 +122,35 @@ def test_pigeonhole():
         b[at] ^= g.integers(1, 256, len(at)).astype(np.uint8)
         ka, kb = near_dedup.keys_of(np.stack([a, b]))
         assert (ka == kb).any()
+        k = near_dedup.first_key(a[None], b[None])[0]
+        assert np.flatnonzero(ka == kb)[0] == k and (ka & 127 == np.arange(128)).all()
+
+
+def test_odd_sketches_refute_no_similar_pair():
+    g = np.random.default_rng(4)
+    for n in (1, 7, 100, 3000):
+        for apart in (0, n // 20, n // 12, n // 4):
+            shared = np.unique(g.integers(0, 1 << 63, n, dtype=np.uint64))
+            a, b = (np.sort(np.concatenate([shared, g.integers(0, 1 << 63, apart, dtype=np.uint64)])) for _ in range(2))
+            sig = near_dedup.signatures(np.concatenate([a, b]), np.array([len(a), len(b)]))
+            similar = 100 * len(shared) >= 85 * (len(shared) + 2 * apart)
+            assert near_dedup.possible(sig[:1], sig[1:])[0] >= similar
+            assert n < 100 or near_dedup.possible(sig[:1], sig[1:])[0] == similar
+
+
+def test_each_pair_is_told_once():
+    """All classes of the same keys: pairs across components, over blocks, once each."""
+    words = [f"w{k}" for k in range(200)]
+    texts = [" ".join(words[:i] + ["x"] + words[i + 1 :]) for i in range(0, 200, 9)]
+    sets, counts = near_dedup.shingle_sets(*near_dedup.texts_of(pa.array(texts)))
+    sig = near_dedup.signatures(sets, counts)
+    keys = near_dedup.keys_of(sig[:, : near_dedup.K])
+    rows = [(key, k, 0, k) for k in range(len(texts)) for key in keys[k].tolist()]
+    cells = [(2 * key, k, k, sig[k].tobytes(), 2, key & 127) for key, k, _, _ in rows if k < 12] + [(2 * key + 1, k, k, sig[k].tobytes(), int(k >= 12), key & 127) for key, k, _, _ in rows]
+    names = ["group", "component", "rep", "sig", "side", "coordinate"]
+    t = pa.table({c: [x[i] for x in sorted(cells)] for i, c in enumerate(names) if c != "group"} | {"group": np.unique([x[0] for x in sorted(cells)], return_inverse=True)[1]}).select(names)
+    got = [(a, b) for x in near_dedup._across(iter(t.to_batches(max_chunksize=97))) for a, b in zip(*[c.to_pylist() for c in x.columns], strict=True)]
+    assert len(got) == len(set(got)) and set(got) >= {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if a < 12}
 
 
 def test_components(spark):
