@@ -17,6 +17,8 @@ from docquarry.llm.quality import fit_on, score_quality
 from docquarry.llm.sampling import crc_part
 from docquarry.llm.shared import kept
 
+#: The least similarity of near duplicates; op9's own is higher.
+NEAR_PERCENT = 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -34,8 +36,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    dropped = near_duplicates(docs).where("not kept").select("doc_id")
+    """One document of each group of near duplicates of a similarity of NEAR_PERCENT or more."""
+    dropped = near_duplicates(docs, NEAR_PERCENT).where("not kept").select("doc_id")
     return docs.join(dropped.distinct(), "doc_id", "left_anti").select(*COLUMNS)
 
 

@@ -2,7 +2,8 @@
 
 A signature has K coordinates of b bits. Split into CHUNKS chunks, two signatures that differ in at most
 2 * CHUNKS - 1 coordinates differ in at most one of some chunk (pigeonhole); every chunk is indexed with each of its
-coordinates left out, which enumerates the one allowed error. So all pairs under the threshold share a key.
+coordinates left out, which enumerates the one allowed error. So all pairs under the threshold share a key. The least
+similarity is an argument; a lower one takes more chunks, so that a pair just at it is as rarely beyond the threshold.
 
 Equal sets are one class first. Then, for each key, every class is compared with the key's first class and with the
 one before it; links are confirmed on full sets and joined to components. Keys whose classes are still in several
@@ -22,6 +23,7 @@ columns, whatever their names, are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from .textbytes import MIX, Words, blocks, list_column, mixed, shingles, texts_o
 WORDS, PERCENT = 5, 85
 K, BITS, CHUNKS = 128, 8, 22
 MOST_APART = 2 * CHUNKS - 1
+#: The most of pairs just at the least similarity that may differ in more coordinates than their chunks allow.
+MISSED = 1e-7
 #: Bits of an odd sketch; bytes of coordinates, set size and sketch together.
 PARITY = 2048
 WIDE = K + 4 + PARITY // 8
@@ -42,11 +46,22 @@ BLOCK_BYTES, BLOCK_ROWS = 1 << 19, 2048
 _draw = np.random.default_rng(20240229)
 _A = _draw.integers(1, 1 << 32, K, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _B = _draw.integers(0, 1 << 32, K, dtype=np.uint64).astype(np.uint32)
-_CHUNK = np.arange(K) * CHUNKS // K
-_BEGIN = np.searchsorted(_CHUNK, np.arange(CHUNKS))
 _COORDINATE = K - 1  # the bits of a key that name the coordinate left out; K is a power of two
 
 
+def chunks_of(percent: int) -> int:
+    """As many chunks as a least similarity needs, CHUNKS at least."""
+    p = (1 - percent / 100) * (1 - 0.5**BITS)
+    missed = lambda c: sum(comb(K, i) * p**i * (1 - p) ** (K - i) for i in range(2 * c, K + 1))
+    return next(c for c in range(CHUNKS, K + 1) if missed(c) <= MISSED)
+
+
+def _layout(chunks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each coordinate's chunk, each chunk's first coordinate."""
+    chunk = np.arange(K) * chunks // K
+    return chunk, np.searchsorted(chunk, np.arange(chunks))
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each text's distinct shingle hashes in ascending order, and how many."""
     h, doc = shingles(Words(data, offsets), WORDS)
@@ -81,28 +96,30 @@ def signatures(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def possible(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def possible(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Of rows of signatures, whether the sets can be similar enough: their sizes and the least they differ by."""
     one, two = (np.ascontiguousarray(z[:, K : K + 4]).view(np.uint32).ravel().astype(np.int64) for z in (x, y))
     apart = np.bitwise_count(x[:, K + 4 :] ^ y[:, K + 4 :]).sum(1, dtype=np.int64)
-    return (apart * (100 + PERCENT) <= (100 - PERCENT) * (one + two)) & (100 * np.minimum(one, two) >= PERCENT * np.maximum(one, two))
+    return (apart * (100 + percent) <= (100 - percent) * (one + two)) & (100 * np.minimum(one, two) >= percent * np.maximum(one, two))
 
 
-def keys_of(sig: np.ndarray) -> np.ndarray:
+def keys_of(sig: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """n x K keys: for each coordinate its chunk without it; the lowest bits are the coordinate."""
+    chunk, begin = _layout(chunks)
     at = np.arange(K, dtype=np.uint64)
     term = mixed((sig.astype(np.uint64) + np.uint64(1)) * MIX[0] + (at + np.uint64(1)) * MIX[1])
-    total = np.add.reduceat(term, _BEGIN, axis=1)
-    return (mixed(total[:, _CHUNK] - term + at * MIX[3]) & ~np.uint64(_COORDINATE) | at).view(np.int64)
+    total = np.add.reduceat(term, begin, axis=1)
+    return (mixed(total[:, chunk] - term + at * MIX[3]) & ~np.uint64(_COORDINATE) | at).view(np.int64)
 
 
-def first_key(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def first_key(x: np.ndarray, y: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """The coordinate of the first key that rows of coordinates under the threshold share."""
+    of, begin = _layout(chunks)
     differ = x != y
-    apart = np.add.reduceat(differ, _BEGIN, axis=1, dtype=np.int64)
+    apart = np.add.reduceat(differ, begin, axis=1, dtype=np.int64)
     chunk = (apart <= 1).argmax(1)
-    alone = (differ & (_CHUNK == chunk[:, None])).argmax(1)
-    return np.where(apart[np.arange(len(chunk)), chunk] == 0, _BEGIN[chunk], alone)
+    alone = (differ & (of == chunk[:, None])).argmax(1)
+    return np.where(apart[np.arange(len(chunk)), chunk] == 0, begin[chunk], alone)
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,11 +147,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(-1, WIDE)
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keys(batches: Iterator[pa.RecordBatch], chunks: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, len(batch), 4096):
             part = batch.slice(at, 4096)
-            keys = keys_of(_matrix(part.column(1))[:, :K])
+            keys = keys_of(_matrix(part.column(1))[:, :K], chunks)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), K))], ["key", "rep"])
 
 
@@ -158,7 +175,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key0, first, last = key[-1], start[of[-1]], rep[-1]
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _across(batches: Iterator[pa.RecordBatch], percent: int = PERCENT, chunks: int = CHUNKS) -> Iterator[pa.RecordBatch]:
     """From rows (group, component, class, signature, side, coordinate) in order of group: pairs across components under the threshold, each told by its first key."""
     rest: pa.Table | None = None
     names = ["a", "b"]
@@ -175,13 +192,13 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in range(K):
                 np.not_equal(sig[k, mine][:, None], theirs[k], out=differ)
                 np.add(apart, differ.view(np.uint8), out=apart)
-            i, j = np.nonzero((apart <= MOST_APART) & (comp[mine][:, None] != comp[right]))
+            i, j = np.nonzero((apart <= 2 * chunks - 1) & (comp[mine][:, None] != comp[right]))
             i, j = mine[i], right[j]
             once = (side[i] != 2) | (rep[i] < rep[j])  # within a block each pair is met from both ends
             i, j = i[once], j[once]
             for k in range(0, len(i), 8192):
                 a, b = i[k : k + 8192], j[k : k + 8192]
-                told = possible(wide[a], wide[b]) & (first_key(wide[a, :K], wide[b, :K]) == of[a])
+                told = possible(wide[a], wide[b], percent) & (first_key(wide[a, :K], wide[b, :K], chunks) == of[a])
                 a, b = rep[a[told]], rep[b[told]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names)
 
@@ -204,40 +221,41 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from whole(rest)
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) of (a, b, signature of a, signature of b) that are not refuted."""
     for batch in batches:
         for at in range(0, len(batch), 8192):
             part = batch.slice(at, 8192)
-            near = possible(_matrix(part.column(2)), _matrix(part.column(3)))
+            near = possible(_matrix(part.column(2)), _matrix(part.column(3)), percent)
             yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(near)), part.column(1).filter(pa.array(near))], ["a", "b"])
 
 
-def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
     both = F.size(F.array_intersect("x", "y"))
     near = pairs.where(F.col("a") != F.col("b")).join(left, "a").join(right, "b")
-    near = near.where(100 * F.least(F.size("x"), F.size("y")) >= PERCENT * F.greatest(F.size("x"), F.size("y")))
-    return near.where(100 * both >= PERCENT * (F.size("x") + F.size("y") - both)).select("a", "b")
+    near = near.where(100 * F.least(F.size("x"), F.size("y")) >= percent * F.greatest(F.size("x"), F.size("y")))
+    return near.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept; sets are similar that share percent of their union at least."""
+    chunks = chunks_of(percent)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     told = kept(base.mapInArrow(_describe, "doc_id long, n_shingles long, one long, two long, sig binary"), "signatures")
     some = told.where("n_shingles > 0 and doc_id is not null")
     classes = kept(some.groupBy("one", "two").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("rep")), "classes")
-    by_key = classes.select("rep", "sig").mapInArrow(_keys, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
+    by_key = classes.select("rep", "sig").mapInArrow(lambda batches: _keys(batches, chunks), "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
     shared = kept(by_key.mapInArrow(_shared, "key long, rep long, first long, before long"), "shared")
     first = shared.select(F.col("first").alias("a"), F.col("rep").alias("b")).union(shared.select(F.col("before").alias("a"), F.col("rep").alias("b"))).distinct()
     sig_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
     tested = first.join(sig_of("a"), "a").join(sig_of("b"), "b").select("a", "b", "sig_a", "sig_b")
-    pairs = kept(tested.mapInArrow(_close, "a long, b long"), "pairs")
+    pairs = kept(tested.mapInArrow(lambda batches: _close(batches, percent), "a long, b long"), "pairs")
     involved = shared.select(F.col("rep").alias("doc_id")).union(shared.select(F.col("first").alias("doc_id"))).distinct()
     sets = kept(base.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
-    links = kept(confirm(pairs, sets), "links")
+    links = kept(confirm(pairs, sets, percent), "links")
     comp = kept(components(links), "components")
     # Keys with classes in several components
     rows = shared.select("key", "rep").union(shared.select("key", F.col("first").alias("rep")).distinct())
@@ -249,8 +267,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     one = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda o: F.struct(F.xxhash64("key", F.least("block", o), F.greatest("block", o)).alias("group"), F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).cast("int").alias("side")))
     left_out = F.col("key").bitwiseAND(F.lit(_COORDINATE)).cast("int").alias("coordinate")
     cells = spread.select("component", "rep", "sig", left_out, F.inline(one)).select("group", "component", "rep", "sig", "side", "coordinate")
-    more = cells.repartition("group").sortWithinPartitions("group").mapInArrow(_across, "a long, b long")
-    late = kept(confirm(more.join(pairs, ["a", "b"], "left_anti"), sets), "late")
+    more = cells.repartition("group").sortWithinPartitions("group").mapInArrow(lambda batches: _across(batches, percent, chunks), "a long, b long")
+    late = kept(confirm(more.join(pairs, ["a", "b"], "left_anti"), sets, percent), "late")
     if late.limit(1).count():
         comp = kept(components(links.union(late)), "components")
     own = told.select("doc_id", "n_shingles", "one", "two").join(classes.select("one", "two", "rep"), ["one", "two"], "left")

@@ -126,6 +126,30 @@ def test_pigeonhole():
         assert np.flatnonzero(ka == kb)[0] == k and (ka & 127 == np.arange(128)).all()
 
 
+def test_pipeline_near_takes_similarities_from_80(spark):
+    """Planted pairs in [0.80, 0.85) go in the pipeline and stay apart at op9's 85; pairs below 0.80 stay in both."""
+    rows, want = [], set()
+    for k, changed in enumerate((8, 9, 10, 11, 12, 13, 14) * 3):  # each change costs five shingles of about 500
+        words = [f"{k}w{i}" for i in range(504)]
+        other = [f"{x}x" if i % 36 == 20 and i // 36 < changed else x for i, x in enumerate(words)]
+        rows += [(2 * k, " ".join(words), "en", "s", 1), (2 * k + 1, " ".join(other), "en", "s", 1)]
+        if 100 * (500 - 5 * changed) >= 80 * (500 + 5 * changed):
+            want.add(2 * k + 1)
+    made = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {x["doc_id"] for x in corpus_pipeline.near(spark, made, "").collect()} == {x[0] for x in rows} - want and len(want) == 12
+    at_85 = {x["doc_id"] for x in near_dedup.near_duplicates(made).where("not kept").collect()}
+    assert at_85 == {2 * k + 1 for k in range(21) if k % 7 == 0}
+    chunks = near_dedup.chunks_of(80)
+    assert near_dedup.chunks_of(85) == near_dedup.CHUNKS < chunks
+    g = np.random.default_rng(6)
+    a = g.integers(0, 256, (50, near_dedup.K)).astype(np.uint8)
+    b = a.copy()
+    for x in b:
+        x[g.choice(near_dedup.K, 2 * chunks - 1, replace=False)] ^= 1
+    same = near_dedup.keys_of(a, chunks) == near_dedup.keys_of(b, chunks)
+    assert same.any(1).all() and (same.argmax(1) == near_dedup.first_key(a, b, chunks)).all()
+
+
 def test_odd_sketches_refute_no_similar_pair():
     g = np.random.default_rng(4)
     for n in (1, 7, 100, 3000):
