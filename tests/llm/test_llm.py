@@ -206,6 +206,29 @@ def test_line_dedup(spark, docs):
     assert line_dedup.remove_repeated_lines(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_line_dedup_takes_whole_runs(spark):
+    """Maximal runs against brute force over all earlier places: short ends go, whichever place they repeat."""
+    g = random.Random(9)
+    long, short = [line(60) for _ in range(3)], [line(5) for _ in range(9)]
+    texts = [[long[0], *short[:8]], [line(9), long[0], *short[:8], line(9)], [long[0], *short[:2], line(4), long[1]], [long[0], *short[:3], line(4)]]
+    texts += [[x for _ in range(g.randint(1, 4)) for x in (g.sample(long, 1) + g.sample(short, g.randint(0, 8)) + [""] * g.randint(0, 1))] for _ in range(40)]
+    got = by_id(line_dedup.remove_repeated_lines(spark.createDataFrame([(i, "\n".join(x)) for i, x in enumerate(texts)], EMPTY)))
+    assert got[1]["n_removed"] == 9
+    units = [[(k, x) for k, x in enumerate(t) if x] for t in texts]
+    for d, mine in enumerate(units):
+        gone = set()
+        for e, theirs in enumerate(units[: d + 1]):
+            for a in range(len(mine)):
+                for b in range(len(theirs) if e < d else a):
+                    n = words = 0
+                    while a + n < len(mine) and b + n < len(theirs) and mine[a + n][1] == theirs[b + n][1]:
+                        words += len(mine[a + n][1].split())
+                        n += 1
+                    if words >= line_dedup.WORDS:
+                        gone |= set(range(mine[a][0], mine[a + n - 1][0] + 1))
+        assert got[d]["text"] == "\n".join(x for k, x in enumerate(texts[d]) if k not in gone), d
+
+
 def test_bpe(spark, docs):
     tokenizers = pytest.importorskip("tokenizers")
     lib = tokenizers.Tokenizer.from_file(bpe.default_path())
