@@ -4,8 +4,10 @@ Texts and benchmark items become sequences of terms: numbers, names (capitalised
 and units give way to typed placeholders; other words are lower-cased letters and digits without punctuation. Windows
 of WINDOW terms that share a hash are joined; placeholders' values are slots. A window pair is consistent if the
 document's value for each of the item's values is one and the same, and the other way round, and so is
-an alignment over all its windows: a re-parameterised question renames consistently. A document is contaminated by an item if consistent windows cover at least COVER of
-the item's windows, those in exactly the item's order that lie on one alignment.
+a chain of alignments over all its windows: a re-parameterised question renames consistently. Adjacent names may count
+as one value there, so a name may be renamed to one of another word count. A document is contaminated by an item if
+consistent windows cover at least COVER of the item's windows, in the item's order, each on the alignment of the one
+before or on one at most WINDOW terms off: words put in or left out shift the rest.
 
 Items with fewer than WINDOW terms are one window of their own length, if that is SHORTEST terms at least.
 
@@ -67,6 +69,7 @@ class Terms:
     symbol: np.ndarray  # the value, or the placeholder's hash
     doc: np.ndarray
     first: np.ndarray
+    run: np.ndarray  # the value, or for a name that of all the names it stands among
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
@@ -99,7 +102,16 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
         kind[_UPPER[data[s]] & ~opens & (inner[e] - inner[s] == 1) & (e - s > 1)] = NAME
         kind[(_UNIT[at] == value) & after] = UNIT
         kind[digit] = NUMBER
-    return Terms(value, kind, np.where(kind > 0, _MARK[kind], value), doc, np.searchsorted(s, offsets))
+    run = value.copy()
+    if len(s):
+        joined = np.zeros(len(s), bool)
+        joined[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:]
+        head = np.flatnonzero(~joined)
+        size = np.diff(head, append=len(s))
+        place = np.arange(len(s)) - np.repeat(head, size)
+        total = np.add.reduceat(mixed(value + place.astype(np.uint64) * MIX[0]), head)
+        run = np.where(np.repeat(size > 1, size), np.repeat(total, size), value)
+    return Terms(value, kind, np.where(kind > 0, _MARK[kind], value), doc, np.searchsorted(s, offsets), run)
 
 
 def _rolled(symbol: np.ndarray, size: int) -> np.ndarray:
@@ -145,12 +157,46 @@ def consistent(a: Terms, x: np.ndarray, b: Terms, y: np.ndarray, size: int) -> n
 
 
 def one_to_one(items: Items, t: Terms, windows: np.ndarray) -> bool:
-    """Whether the slots of all windows of one alignment together go one to one."""
+    """Whether the slots of all windows of one chain together go one to one, by terms or by runs of names."""
     z = min(WINDOW, int(np.diff(items.terms.first)[windows[0, 1]]))
-    y = np.unique(windows[:, 3][:, None] + np.arange(z))
-    y = y[items.terms.kind[y] > 0]
-    pairs = set(zip(items.terms.value[y].tolist(), t.value[y + windows[0, 2]].tolist(), strict=True))
-    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+    x, y = ((c[:, None] + np.arange(z)).ravel() for c in (windows[:, 2] + windows[:, 3], windows[:, 3]))
+    slot = items.terms.kind[y] > 0
+    x, y = x[slot], y[slot]
+    for a, b in ((items.terms.value, t.value), (items.terms.run, t.run)):
+        pairs = set(zip(a[y].tolist(), b[x].tolist(), strict=True))
+        if len(pairs) == len({v for v, _ in pairs}) == len({v for _, v in pairs}):
+            return True
+    return False
+
+
+def chains(windows: np.ndarray, least: float) -> list[np.ndarray]:
+    """Of the windows of a text and an item, in order of alignment and item term: the longest chain up to each run of
+    windows, and each alignment alone, if it has at least so many, longest first. A chain is windows of ascending terms
+    of both, each window's alignment at most WINDOW terms off the one's before."""
+    cut = np.flatnonzero((np.diff(windows[:, 2]) != 0) | (np.diff(windows[:, 3]) != 1)) + 1
+    head, tail = np.append(0, cut), np.append(cut, len(windows)) - 1
+    order = np.lexsort((windows[head, 2], windows[head, 3]))
+    head, tail = head[order], tail[order]
+    shift, y0, y1 = windows[head, 2], windows[head, 3], windows[tail, 3]
+    best, back, begin = y1 - y0 + 1, np.full(len(head), -1), y0.copy()
+    for k in range(1, len(head)):
+        near = np.flatnonzero(np.abs(shift[:k] - shift[k]) <= WINDOW)
+        start = np.maximum(y0[k], np.maximum(y1[near], y1[near] + shift[near] - shift[k]) + 1)
+        total = np.where(start <= y1[k], best[near] + y1[k] - start + 1, 0)
+        if len(near) and total.max() > best[k]:
+            m = int(total.argmax())
+            best[k], back[k], begin[k] = total[m], near[m], start[m]
+    out = []
+    for k in np.argsort(-best, kind="stable").tolist():
+        if best[k] < least:
+            break
+        parts = []
+        while k >= 0:
+            parts.append(windows[head[k] + begin[k] - y0[k] : tail[k] + 1])
+            k = back[k]
+        out.append(np.concatenate(parts[::-1]))
+    out += [x for x in np.split(windows, np.flatnonzero(np.diff(windows[:, 2])) + 1) if len(x) >= least]
+    return sorted(out, key=len, reverse=True)
 
 
 def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -181,20 +227,21 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     m = np.concatenate(found)
     m = m[np.lexsort((m[:, 3], m[:, 2], m[:, 1], m[:, 0]))]
     new = np.ones(len(m), bool)
-    new[1:] = (m[1:, :3] != m[:-1, :3]).any(axis=1)
+    new[1:] = (m[1:, :2] != m[:-1, :2]).any(axis=1)
     head = np.flatnonzero(new)
     count = np.diff(head, append=len(m))
-    exact = np.add.reduceat(m[:, 4], head) if len(head) else none
-    doc, item = m[head, 0], m[head, 1]
-    share = count / items.windows[item] if len(head) else np.zeros(0)
-    ends = np.append(head, len(m))
-    ok = np.array([s >= COVER and one_to_one(items, t, m[ends[k] : ends[k + 1]]) for k, s in enumerate(share.tolist())], bool)
-    doc, item, share, count, exact = doc[ok], item[ok], share[ok], count[ok], exact[ok]
-    order = np.lexsort((-share, item, doc))  # the best alignment of each pair
-    doc, item, share, other = doc[order], item[order], share[order], (exact < count)[order]
-    best = np.ones(len(doc), bool)
-    best[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1])
-    return doc[best], item[best], share[best], other[best]
+    told = []
+    for k in np.flatnonzero(count >= COVER * items.windows[m[head, 1]]).tolist():
+        own = m[head[k] : head[k] + count[k]]
+        total = items.windows[own[0, 1]]
+        for chain in chains(own, COVER * total):
+            if one_to_one(items, t, chain):
+                told.append((own[0, 0], own[0, 1], len(chain) / total, not chain[:, 4].all()))
+                break
+    if not told:
+        return none, none, np.zeros(0), none.astype(bool)
+    doc, item, share, other = zip(*told, strict=True)
+    return np.array(doc), np.array(item), np.array(share, float), np.array(other, bool)
 
 
 def _rows(shared):

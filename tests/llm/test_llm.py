@@ -280,6 +280,21 @@ def test_decontamination(spark, docs):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0 == decontaminate.contaminated(spark.createDataFrame([], EMPTY), bench).count()
 
 
+def contaminations(items, texts):
+    made = decontaminate.matches(decontaminate.items_of(list(range(len(items))), items), *decontaminate.texts_of(pa.array(texts)))
+    return {(int(d), int(i)): bool(o) for d, i, _, o in zip(*made, strict=True)}
+
+
+def test_shifted_contamination():
+    """Words put in or left out in the middle, and a name of another word count, shift the rest of an item."""
+    words = [f"term{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    item, name = " ".join(words), " ".join([*words[:19], "Smith", *words[20:]])
+    texts = ["so " + " ".join([*words[:20], "more", *words[20:]]), " ".join(words[:20] + words[21:]), name.replace("Smith", "Mary Jones"), name.replace("Smith", "Jones")]
+    apart = [" ".join(words[20:] + words[:20]), " ".join([*words[:20], *["far"] * 30, *words[20:]]), " ".join(words[:20])]
+    assert contaminations([item], texts[:2] + apart) == {(0, 0): False, (1, 0): False}
+    assert contaminations([name], texts[2:]) == {(0, 0): True, (1, 0): True}
+
+
 def test_forward_sums_segmentations():
     trie = language_id.Trie([b"\x01a", b"\x01ab", b"b", b"bc", b"c", b"abc"])
     p = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.2]])[[trie.pieces.index(x) for x in trie.pieces]]
