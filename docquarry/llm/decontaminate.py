@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
-Texts and benchmark items become sequences of terms: numbers, names (capitalised words that do not begin a sentence)
-and units give way to typed placeholders; other words are lower-cased letters and digits without punctuation. Windows
-of WINDOW terms that share a hash are joined; placeholders' values are slots. A window pair is consistent if the
+Texts and benchmark items become sequences of terms: numbers, names (capitalised words) and units give way to typed
+placeholders; other words are lower-cased letters and digits without punctuation. A capitalised word that begins a
+sentence may be a name or not, so each sequence has three variants: names without such words, names with them, and
+words alone. Windows of WINDOW terms of any variants that share a hash are joined; placeholders' values are slots. A window pair is consistent if the
 document's value for each of the item's values is one and the same, and the other way round, and so is
 a chain of alignments over all its windows: a re-parameterised question renames consistently. Adjacent names may count
 as one value there, so a name may be renamed to one of another word count. A document is contaminated by an item if
@@ -66,7 +67,8 @@ _MARK = mixed(np.arange(1, 5, dtype=np.uint64) * MIX[2])
 class Terms:
     value: np.ndarray  # hash of the lower-cased word
     kind: np.ndarray
-    symbol: np.ndarray  # the value, or the placeholder's hash
+    sure: np.ndarray  # the kind, but plain for capitalised words that begin a sentence
+    symbols: tuple[np.ndarray, ...]  # by variant the value, or the placeholder's hash
     doc: np.ndarray
     first: np.ndarray
     run: np.ndarray  # the value, or for a name that of all the names it stands among
@@ -99,9 +101,12 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
         after = np.zeros(len(s), bool)
         after[1:] = digit[:-1] & (doc[1:] == doc[:-1])
         inner = np.concatenate([[0], np.cumsum(_UPPER[data])])
-        kind[_UPPER[data[s]] & ~opens & (inner[e] - inner[s] == 1) & (e - s > 1)] = NAME
+        kind[_UPPER[data[s]] & (inner[e] - inner[s] == 1) & (e - s > 1)] = NAME
         kind[(_UNIT[at] == value) & after] = UNIT
         kind[digit] = NUMBER
+    sure = kind.copy()
+    if len(s):
+        sure[opens & (kind == NAME)] = PLAIN
     run = value.copy()
     if len(s):
         joined = np.zeros(len(s), bool)
@@ -111,7 +116,8 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
         place = np.arange(len(s)) - np.repeat(head, size)
         total = np.add.reduceat(mixed(value + place.astype(np.uint64) * MIX[0]), head)
         run = np.where(np.repeat(size > 1, size), np.repeat(total, size), value)
-    return Terms(value, kind, np.where(kind > 0, _MARK[kind], value), doc, np.searchsorted(s, offsets), run)
+    symbols = (*(np.where(c > 0, _MARK[c], value) for c in (sure, kind)), value)
+    return Terms(value, kind, sure, symbols, doc, np.searchsorted(s, offsets), run)
 
 
 def _rolled(symbol: np.ndarray, size: int) -> np.ndarray:
@@ -122,6 +128,16 @@ def _rolled(symbol: np.ndarray, size: int) -> np.ndarray:
     return mixed(out + _U(size))
 
 
+def _variants(t: Terms, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each variant, hashes and first terms of the windows that differ from the first one's."""
+    base = _rolled(t.symbols[0], size)
+    whole = t.doc[: len(base)] == t.doc[size - 1 : size - 1 + len(base)]
+    for k, symbol in enumerate(t.symbols):
+        h = _rolled(symbol, size) if k else base
+        at = np.flatnonzero(whole & (h != base) if k else whole)
+        yield h[at], at
+
+
 @dataclass
 class Items:
     ids: np.ndarray
@@ -136,11 +152,11 @@ def items_of(ids: list[int], texts: list[str]) -> Items:
     size = np.where(count >= WINDOW, WINDOW, np.where(count >= SHORTEST, count, 0))
     hashes = {}
     for z in np.unique(size[size > 0]).tolist():
-        h = _rolled(t.symbol, z)
-        doc = t.doc[: len(h)]
-        at = np.flatnonzero((size[doc] == z) & (np.arange(len(h)) + z <= t.first[doc + 1]))
-        order = np.argsort(h[at], kind="stable")
-        hashes[z] = (h[at][order], at[order])
+        h, at = (np.concatenate(c) for c in zip(*_variants(t, z), strict=True))
+        own = size[t.doc[at]] == z
+        h, at = h[own], at[own]
+        order = np.argsort(h, kind="stable")
+        hashes[z] = (h[order], at[order])
     return Items(np.asarray(ids, np.int64), t, hashes, np.where(size > 0, count - size + 1, 0))
 
 
@@ -148,8 +164,7 @@ def consistent(a: Terms, x: np.ndarray, b: Terms, y: np.ndarray, size: int) -> n
     """Whether the slots of windows at terms x of a and y of b go one to one."""
     ok = np.ones(len(x), bool)
     for i in range(size):
-        slot = a.kind[x + i] > 0
-        ok &= ~slot | (a.kind[x + i] == b.kind[y + i])
+        ok &= (a.value[x + i] == b.value[y + i]) | (a.kind[x + i] > 0) & (a.kind[x + i] == b.kind[y + i])
         for j in range(i):
             both = (a.kind[x + i] > 0) & (a.kind[x + j] == a.kind[x + i])
             ok &= ~both | ((a.value[x + i] == a.value[x + j]) == (b.value[y + i] == b.value[y + j]))
@@ -160,7 +175,7 @@ def one_to_one(items: Items, t: Terms, windows: np.ndarray) -> bool:
     """Whether the slots of all windows of one chain together go one to one, by terms or by runs of names."""
     z = min(WINDOW, int(np.diff(items.terms.first)[windows[0, 1]]))
     x, y = ((c[:, None] + np.arange(z)).ravel() for c in (windows[:, 2] + windows[:, 3], windows[:, 3]))
-    slot = items.terms.kind[y] > 0
+    slot = (items.terms.kind[y] > 0) | (t.kind[x] > 0)
     x, y = x[slot], y[slot]
     for a, b in ((items.terms.value, t.value), (items.terms.run, t.run)):
         pairs = set(zip(a[y].tolist(), b[x].tolist(), strict=True))
@@ -204,23 +219,24 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     t = terms(data, offsets)
     found = []
     for z, (hashes, places) in items.hashes.items():
-        h = _rolled(t.symbol, z)
-        if not len(h):
-            continue
+        h, at = (np.concatenate(c) for c in zip(*_variants(t, z), strict=True))
         lo = np.searchsorted(hashes, h, "left")
-        safe = np.minimum(lo, len(hashes) - 1)
-        x = np.flatnonzero((hashes[safe] == h) & (t.doc[: len(h)] == t.doc[z - 1 : z - 1 + len(h)]))
-        if not len(x):
+        some = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == h)
+        if not len(some):
             continue
-        n = np.searchsorted(hashes, h[x], "right") - lo[x]
+        h, lo, x = h[some], lo[some], at[some]
+        n = np.searchsorted(hashes, h, "right") - lo
         k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        x, y = np.repeat(x, n), places[np.repeat(lo[x], n) + k]
+        x, y = np.repeat(x, n), places[np.repeat(lo, n) + k]
+        x, y = np.unique(np.stack([x, y], axis=1), axis=0).T
         ok = consistent(t, x, items.terms, y, z)
         x, y = x[ok], y[ok]
-        exact = np.ones(len(x), bool)
+        exact, firm = np.ones(len(x), bool), np.ones(len(x), bool)
         for i in range(z):
-            exact &= t.value[x + i] == items.terms.value[y + i]
-        found.append(np.stack([t.doc[x], items.terms.doc[y], x - y, y, exact], axis=1))
+            same = t.value[x + i] == items.terms.value[y + i]
+            exact &= same
+            firm &= same | (t.sure[x + i] > 0) & (items.terms.sure[y + i] > 0)
+        found.append(np.stack([t.doc[x], items.terms.doc[y], x - y, y, exact, firm], axis=1))
     none = np.zeros(0, np.int64)
     if not found:
         return none, none, np.zeros(0), none.astype(bool)
@@ -234,7 +250,8 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     for k in np.flatnonzero(count >= COVER * items.windows[m[head, 1]]).tolist():
         own = m[head[k] : head[k] + count[k]]
         total = items.windows[own[0, 1]]
-        for chain in chains(own, COVER * total):
+        firm = own[own[:, 5] == 1]  # without renamed words that begin sentences, which need not be names
+        for chain in (c for rows in ((own,) if len(firm) == len(own) else (own, firm)) if len(rows) for c in chains(rows, COVER * total)):
             if one_to_one(items, t, chain):
                 told.append((own[0, 0], own[0, 1], len(chain) / total, not chain[:, 4].all()))
                 break

@@ -295,6 +295,16 @@ def test_shifted_contamination():
     assert contaminations([name], texts[2:]) == {(0, 0): True, (1, 0): True}
 
 
+def test_names_that_begin_sentences():
+    """A capitalised word is a name or not whatever stands before it, in renamed and in verbatim items."""
+    tom = "Tom has 5 apples and buys 3 more at the shop. Tom then gives 2 to his friend."
+    anna = tom.replace("Tom", "Anna").replace("5", "7").replace("3", "4").replace("2", "6")
+    short = "What is the capital city of France?"
+    assert contaminations([tom, short], [anna, "he says: " + anna, anna.replace("Anna then", "Eve then"), f"he asked, {short}", f'"{short}"', f"so {short.lower()}"]) == {(0, 0): True, (1, 0): True, (3, 1): False, (4, 1): False, (5, 1): False}
+    the = "The small dog eats 5 bones in the garden. The old cat sleeps on a chair in the warm kitchen all day long while the children of the house play a quiet game of cards."
+    assert contaminations([the], [the.replace("The old", "An old"), "now " + the.lower()]) == {(0, 0): False, (1, 0): False}
+
+
 def test_forward_sums_segmentations():
     trie = language_id.Trie([b"\x01a", b"\x01ab", b"b", b"bc", b"c", b"abc"])
     p = np.array([[0.1], [0.2], [0.3], [0.15], [0.05], [0.2]])[[trie.pieces.index(x) for x in trie.pieces]]
