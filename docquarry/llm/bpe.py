@@ -1,12 +1,14 @@
 """Byte-pair encoding and decoding with a pair occurrence index.
 
-The new pieces of a slice of a partition are encoded together. The index holds the positions of every mergeable pair
-in all of them, by piece and rank. Ranks are applied in ascending order: each step takes every piece's lowest active
-rank, merges all positions of it, and looks up only the pairs around the merges again. Pieces do not touch each
-other, so each may be at a rank of its own; a piece without active ranks leaves the index.
+The pieces of a partition are encoded slice by slice, those of a slice that are new together. The index maps every
+mergeable pair, named by its rank, to the list of all positions in these pieces where it stands; the ranks that have
+positions are active and wait in a heap. The least active rank is taken, its positions are merged from left to right,
+and for each merge only the two pairs beside it change: the old ones' entries become void, and the new ones' positions
+join their own lists, which makes their ranks active. So a merge costs the same however long its piece is.
 
-Normalising and splitting are the vocabulary file's own steps. Each different piece of a slice is encoded once, and a
-text's output is its pieces' in order; a text beyond the size of a slice is a slice of its own.
+Normalising and splitting are the vocabulary file's own steps. Each different piece is encoded once while it is
+remembered (KNOWN pieces at most), and a text's output is its pieces' in order; a text beyond the size of a slice is a
+slice of its own.
 
 Edge cases: a null or empty text has no tokens and decodes to the empty text; strings of special tokens in a text are
 those tokens, as in the library; a null doc_id is carried along; repeated rows give repeated rows; an empty table
@@ -16,6 +18,7 @@ gives an empty table; other columns, whatever their names, are left out.
 from __future__ import annotations
 
 import gc
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -25,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_CHARS = 6 << 20
-NONE = np.iinfo(np.int32).max
+#: Characters of texts that are encoded together; pieces that a worker remembers; rank of a pair that is none.
+SLICE_CHARS, KNOWN, NONE = 4 << 20, 150_000, np.iinfo(np.int32).max
 #: Texts of these characters normalise by lower() alone and split by the second pattern; others go through the library.
 _PLAIN = re.compile("[\t-\r -~À-įı-ſ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\t-\r a-z0-9À-ÖØ-öø-ſ]+").findall
@@ -63,74 +66,81 @@ class PairIndexBpe:
         self.inner = np.array([vocab[c] for c in signs], np.int64)
         self.final = np.array([vocab[c + end] for c in signs], np.int64)
         merges = [x if isinstance(x, list) else x.split(" ") for x in model["merges"]]
-        self.made = np.array([vocab[a + b] for a, b in merges], np.int64)
-        keys = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
-        bits = (2 * len(keys)).bit_length()
-        self.shift, self.slots = np.uint64(64 - bits), np.full((2 << bits) + 64, -1, np.int64)
-        self.found = np.full(len(self.slots), NONE, np.int64)
-        at = self.slot(keys).tolist()
-        for r, (k, h) in enumerate(zip(keys.tolist(), at, strict=True)):
-            while self.slots[h] >= 0:
-                h += 1
-            self.slots[h], self.found[h] = k, r
-
-    def slot(self, key: np.ndarray) -> np.ndarray:
-        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Rank of each pair or NONE, from a hash table with linear probing."""
-        key = left << 32 | right
-        at = self.slot(key)
-        out = np.full(len(key), NONE, np.int64)
-        left_over = np.arange(len(key))
-        while len(left_over):
-            have = self.slots[at]
-            hit = have == key
-            out[left_over[hit]] = self.found[at[hit]]
-            go = ~hit & (have >= 0)
-            left_over, key, at = left_over[go], key[go], at[go] + 1
-        return out
+        self.made = [vocab[x + y] for x, y in merges]
+        #: Rank of each pair, which is written as one number.
+        self.rank = {vocab[x] << 32 | vocab[y]: r for r, (x, y) in enumerate(merges)}
+        last = {token: r for r, token in enumerate(self.made)}
+        if any(last.get(vocab[z], -1) >= r for r, (x, y) in enumerate(merges) for z in (x, y)):
+            raise ValueError("a merge comes before one that makes its parts, so ranks do not ascend")
+        self.known: dict[str, tuple[str, str]] = {}
+
+    def occurrences(self, sym: list[int], last: list[int]) -> tuple[list[int], dict[int, list[int]]]:
+        """The rank of the pair that begins at each position, and the index: each rank's positions in ascending order."""
+        get = self.rank.get
+        rank = [get(a << 32 | b, NONE) for a, b in zip(sym, sym[1:], strict=False)] + [NONE]
+        for p in last:  # the next sign is another piece's
+            rank[p] = NONE
+        flat = np.array(rank, np.int64)
+        order = np.argsort(flat, kind="stable")
+        order = order[: np.searchsorted(flat[order], NONE)]
+        cut = np.flatnonzero(np.diff(flat[order])) + 1
+        lists = np.split(order, cut) if len(order) else []
+        return rank, {rank[x[0]]: x.tolist() for x in lists}
 
     def merge_all(self, raw: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row and each piece's number of ids; all pieces share one index of pair positions."""
-        sym = self.inner[raw]
-        last = np.cumsum(size) - 1
-        sym[last] = self.final[raw[last]]
-        piece = np.repeat(np.arange(len(size)), size)
-        rank = np.full(len(sym), NONE, np.int64)  # of the pair that begins here
-        inside = np.flatnonzero(piece[:-1] == piece[1:])
-        rank[inside] = self.ranks(sym[inside], sym[inside + 1])
-        done_sym, done_piece = [], []
-        while len(sym):
-            start = np.flatnonzero(np.diff(piece, prepend=-1))
-            count = np.diff(start, append=len(sym))
-            lowest = np.minimum.reduceat(rank, start)
-            over = np.repeat(lowest == NONE, count)
-            if over.any():
-                done_sym.append(sym[over])
-                done_piece.append(piece[over])
-                go = ~over
-                sym, piece, rank = sym[go], piece[go], rank[go]
-                count, lowest = count[lowest != NONE], lowest[lowest != NONE]
-                if not len(sym):
-                    break
-            hit = np.flatnonzero(rank == np.repeat(lowest, count))
-            run = np.flatnonzero(np.diff(hit, prepend=-2) != 1)  # in a run of equal signs every other position merges
-            hit = hit[(np.arange(len(hit)) - np.repeat(run, np.diff(run, append=len(hit)))) % 2 == 0]
-            sym[hit] = self.made[rank[hit]]
-            keep = np.ones(len(sym), bool)
-            keep[hit + 1] = False
-            at = hit - np.arange(len(hit))  # the merged sign's new place
-            sym, piece, rank = sym[keep], piece[keep], rank[keep]
-            near = np.concatenate([at, at[at > 0] - 1])
-            rank[near] = NONE
-            near = near[near + 1 < len(sym)]
-            near = near[piece[near] == piece[near + 1]]
-            rank[near] = self.ranks(sym[near], sym[near + 1])
-        if not done_sym:
+        """Ids of all pieces in a row and each piece's number of ids."""
+        n = len(raw)
+        if not n:
             return np.zeros(0, np.int64), np.zeros(len(size), np.int64)
-        sym, piece = np.concatenate(done_sym), np.concatenate(done_piece)
-        return sym[np.argsort(piece, kind="stable")], np.bincount(piece, minlength=len(size))
+        ends = np.cumsum(size) - 1
+        ids = self.inner[raw]
+        ids[ends] = self.final[raw[ends]]
+        sym = ids.tolist()
+        rank, index = self.occurrences(sym, ends.tolist())
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        begins = ends + 1 - size
+        for p in begins.tolist():
+            before[p] = -1
+        for p in ends.tolist():
+            after[p] = n
+        get, made, void = self.rank.get, self.made, -1
+        active = list(index)
+        heapq.heapify(active)
+        while active:
+            r = heapq.heappop(active)
+            positions, new = index.pop(r), made[r]
+            positions.sort()
+            for p in positions:
+                if rank[p] != r:  # void: a neighbour's merge took one of its signs
+                    continue
+                q = after[p]
+                sym[p], rank[q] = new, void
+                sym[q] = void
+                beyond = after[p] = after[q]
+                now = NONE
+                if beyond < n:
+                    before[beyond] = p
+                    now = get(new << 32 | sym[beyond], NONE)
+                    if now != NONE:
+                        if now in index:
+                            index[now].append(p)
+                        else:
+                            index[now] = [p]
+                            heapq.heappush(active, now)
+                rank[p] = now
+                back = before[p]
+                if back >= 0:
+                    now = get(sym[back] << 32 | new, NONE)
+                    rank[back] = now
+                    if now != NONE:
+                        if now in index:
+                            index[now].append(back)
+                        else:
+                            index[now] = [back]
+                            heapq.heappush(active, now)
+        out = np.array(sym, np.int64)
+        held = out != void
+        return out[held], np.add.reduceat(held, begins, dtype=np.int64)
 
     def parts(self, text: str) -> list[str]:
         """The text's pieces in order: plain ones in lower case, others in byte signs after U+0000, special tokens after U+0001."""
@@ -166,7 +176,8 @@ class PairIndexBpe:
     def run(self, texts: list[str]) -> list[tuple[str, str, int]]:
         """Of each text: ids in decimal joined by spaces, the decoded text, the number of ids."""
         cut = [self.parts(x) for x in texts]
-        known = self.learn(list(set().union(*cut)))
+        different, known = set().union(*cut), self.known
+        known.update(self.learn([x for x in different if x not in known]))
         out = []
         for pieces in cut:
             if pieces:
@@ -175,6 +186,8 @@ class PairIndexBpe:
                 out.append((ids, " ".join(b), ids.count(" ") + 1))
             else:
                 out.append(("", "", 0))
+        if len(known) > KNOWN:
+            known.clear()
         return out
 
 
@@ -188,14 +201,14 @@ def model_at(path: str) -> PairIndexBpe:
 
 
 def _rows(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = model_at(path)
-        gc.disable()  # nothing here is cyclic, and passes over millions of small objects cost more than the work
-        names = ["doc_id", "n_tokens", "ids", "decoded"]
+    names = ["doc_id", "n_tokens", "ids", "decoded"]
 
-        def made(keys: pa.Array, out: list[tuple[str, str, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([keys, pa.array([x[2] for x in out], pa.int64()), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string())], names)
+    def made(keys: pa.Array, out: list[tuple[str, str, int]]) -> pa.RecordBatch:
+        ids, decoded, n = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = model_at(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             i = 0
@@ -204,7 +217,14 @@ def _rows(path: str):
                 while j < len(texts) and size < SLICE_CHARS:
                     size += len(texts[j] or "")
                     j += 1
-                yield made(batch.column(0).slice(i, j - i), bpe.run([x or "" for x in texts[i:j]]))
+                collects = gc.isenabled()
+                gc.disable()  # nothing here is cyclic, and passes over millions of small objects cost more than the work
+                try:
+                    out = bpe.run([x or "" for x in texts[i:j]])
+                finally:
+                    if collects:
+                        gc.enable()
+                yield made(batch.column(0).slice(i, j - i), out)
                 i = j
 
     return run

@@ -4,9 +4,9 @@ Everything is DataFrame functions. Texts are escaped and each turn's segments ar
 conversation's rows meet once, as its output is one string.
 
 Edge cases: null text is empty, null role is the empty role; turns with equal numbers go by role, then text; a null
-turn goes first; rows with a null conv_id are one conversation; conversations that the machine rejects are still
-formatted, with valid false and the first wrong turn's place; an empty table gives an empty table; other columns are
-left out.
+turn goes first; a row with a null conv_id is a conversation of its own, as nothing says that two such rows belong
+together; repeated rows are turns each; conversations that the machine rejects are still formatted, with valid false and
+the first wrong turn's place; an empty table gives an empty table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -79,8 +79,10 @@ def _segments(role: Column, text: Column, t: Template) -> Column:
 def format_chat(rows: DataFrame, t: Template = INSTRUCT) -> DataFrame:
     """Per conversation: conv_id, n_turns, valid, bad_turn, segments (text, loss), formatted."""
     role, text = F.coalesce(F.col("role").cast("string"), F.lit("")), F.coalesce(F.col("text").cast("string"), F.lit(""))
-    one = rows.select(F.col("conv_id"), F.struct(F.col("turn"), role.alias("role"), text.alias("raw"), _segments(role, escape(text, t), t).alias("seg")).alias("row"))
-    met = one.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id()).alias("alone")
+    row = F.struct(F.col("turn"), role.alias("role"), text.alias("raw"), _segments(role, escape(text, t), t).alias("seg"))
+    one = rows.select(F.col("conv_id"), alone, row.alias("row"))
+    met = one.groupBy("conv_id", "alone").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     steps = F.create_map(*[F.lit(x) for k, v in t.next_roles.items() for x in (k, F.array(*map(F.lit, v)))])
     names = F.transform("rows", lambda x: x["role"])
     before = F.concat(F.array(F.lit("")), F.slice(names, 1, F.size(names) - 1))
@@ -93,7 +95,7 @@ def format_chat(rows: DataFrame, t: Template = INSTRUCT) -> DataFrame:
 
 
 def read_back(formatted: Column, t: Template = INSTRUCT) -> Column:
-    """The turns (role, text, loss) of a formatted conversation, from its string alone."""
+    """The turns (role, text, loss as the template declares it) of a formatted conversation, from its string alone."""
     body = F.substr(formatted, F.lit(len(t.start) + 1))
     cut = body
     for part in (*t.roles.values(), t.other):  # the end of each turn
@@ -110,20 +112,34 @@ def read_back(formatted: Column, t: Template = INSTRUCT) -> Column:
         made = lambda r, c, on: F.struct(r.alias("role"), c.alias("text"), F.lit(on).alias("loss"))
         out = made(unescape(F.substr(rest, F.lit(1), place - 1), t), unescape(F.substr(rest, place + len(tail)), t), t.other.loss)
         for name, part in t.roles.items():
-            out = F.when(F.startswith(x, F.lit(part.before)), made(F.lit(name), unescape(F.substr(x, F.lit(len(part.before) + 1)), t), part.loss)).otherwise(out)
+            said = unescape(F.substr(x, F.lit(len(part.before) + 1)), t)
+            out = F.when(F.startswith(x, F.lit(part.before)), made(F.lit(name), said, part.loss)).otherwise(out)
         return out
 
     return F.transform(turns, turn)
 
 
+def loss_text(segments: Column, t: Template = INSTRUCT) -> Column:
+    """What stands under the loss mask: the texts of the segments whose flag is set, unescaped."""
+    return F.array_join(F.transform(F.filter(segments, lambda x: x["loss"]), lambda x: unescape(x["text"], t)), "")
+
+
 def op8_chat_format(spark, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
-    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    who = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), who.alias("role"), F.lit(said).alias("text"))
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").unionByName(added)
-    made = format_chat(rows).select("conv_id", "valid", "formatted", read_back(F.col("formatted")).alias("turns"))
+    made = format_chat(rows).select("conv_id", "valid", "formatted", read_back(F.col("formatted")).alias("turns"), loss_text(F.col("segments")).alias("loss"))
     every = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda x: x["loss"]), lambda x: x["text"]), "")
-    return made.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(every, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"), "valid")
+    return made.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(every, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
 
 
 OP8_SQL = r"""

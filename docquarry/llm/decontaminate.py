@@ -1,22 +1,29 @@
 """Benchmark decontamination by template canonicalisation.
 
 Texts and benchmark items become sequences of terms: numbers, names (capitalised words) and units give way to typed
-placeholders; other words are lower-cased letters and digits without punctuation. A capitalised word that begins a
-sentence may be a name or not, so each sequence has three variants: names without such words, names with them, and
-words alone. Windows of WINDOW terms of any variants that share a hash are joined; placeholders' values are slots. A window pair is consistent if the
-document's value for each of the item's values is one and the same, and the other way round, and so is
-a chain of alignments over all its windows: a re-parameterised question renames consistently. Adjacent names may count
-as one value there, so a name may be renamed to one of another word count. A document is contaminated by an item if
-consistent windows cover at least COVER of the item's windows, in the item's order, each on the alignment of the one
-before or on one at most WINDOW terms off: words put in or left out shift the rest.
-
-Items with fewer than WINDOW terms are one window of their own length, if that is SHORTEST terms at least.
+placeholders; other words are lower-cased letters and digits without punctuation. ``99km`` and ``$99`` are a number and
+its unit, in that order, as ``99 km`` and ``99 dollars`` are. A capitalised word that begins a sentence may be a name
+or not, so each sequence has three variants: names without such words, names with them, and words alone. Windows of any
+variants that share a hash are joined; placeholders' values are slots. A window with fewer than LEAST_PLAIN words
+beside its placeholders is no template and is joined by its values alone. A window pair is consistent if the document's
+value for each of the item's values is one and the same, and the other way round, and so is a chain of alignments over
+all its windows: a re-parameterised question renames consistently. Adjacent names may count as one value there, so a
+name may be renamed to one of another word count. A document is contaminated by an item if consistent windows cover at
+least COVER of the item's terms, in the item's order, each on the alignment of the one before or on one at most WINDOW
+terms off: words put in or left out shift the rest.
+
+Windows have a third of an item's terms, from TEMPLATE to WINDOW, so that a word put in leaves some on both sides. Items
+under SHORT terms are one window of their own length, those under TEMPLATE terms by their values alone.
+
+A window that an item has once meets all its equals in a document. One that it has several times meets each of them
+once, at the place that the nearest window of the first kind tells (or, without any, in order); so pairs are no more
+than places in documents.
 
 The benchmark is the stated query set: it is taken in blocks of bounded size, each broadcast in turn to all documents.
 
 Edge cases: null and empty texts have no terms and are clean; a null doc_id is reported as null; items without terms or
-with a null text match nothing; rows that repeat are reported each; ties between items are all reported; an empty
-table or benchmark gives no rows; other columns are left out.
+with a null text match nothing; rows that repeat are reported each; ties between items are all reported; very long texts
+are searched whole; an empty table or benchmark gives no rows; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -26,43 +33,93 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textbytes import LOWER, MIX, blocks, mixed, range_hashes, texts_of
+from .textbytes import MIX, blocks, mixed, span_hashes, texts_of
 
-WINDOW, SHORTEST, COVER = 8, 5, 0.6
+WINDOW, SHORT, TEMPLATE, LEAST_PLAIN, COVER = 8, 10, 5, 2, 0.7
 #: Items in a broadcast block; bytes of items in one.
 ITEMS, ITEM_BYTES = 20_000, 32 << 20
 BLOCK_BYTES = 1 << 19
 #: Words that stand for units.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "hour", "minutes", "seconds", "days", "day", "years", "year", "miles", "mile", "feet", "ft", "inches", "inch", "meters", "metres", "dollars", "dollar", "euros", "euro", "cents", "usd", "eur", "percent", "degrees", "kmh", "mph")
+#: Signs before a number that are its unit, and those after one.
+CURRENCIES, AFTER = ("$", "£", "¥", "€"), ("%",)
 PLAIN, NUMBER, NAME, UNIT = range(4)
 _TERM = np.zeros(256, bool)
 _TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_UPPER = np.zeros(256, bool)
-_UPPER[65:91] = True
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:\n"]] = True
+#: Whether the character of these two bytes is a capital letter; of one byte, whatever follows.
+_CAPITAL = np.zeros((256, 256), bool)
+_CAPITAL[65:91] = True
+for _lead in range(0xC2, 0xE0):
+    for _next in range(0x80, 0xC0):
+        _CAPITAL[_lead, _next] = bytes([_lead, _next]).decode().isupper()
 _U = np.uint64
 
 
-def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return range_hashes(mixed((LOWER[data].astype(np.uint64) + _U(1)) * MIX[0]), start, end)
-
-
 def _units() -> np.ndarray:
     raw = np.frombuffer("".join(UNITS).encode(), np.uint8)
     end = np.cumsum([len(x) for x in UNITS])
-    return np.sort(_hash(raw, np.concatenate([[0], end[:-1]]), end))
+    return np.sort(span_hashes(raw, np.concatenate([[0], end[:-1]]), end))
 
 
 _UNIT = _units()
+_SIGN = np.zeros(256, bool)
+_SIGN[[ord(c) for c in "$%"]] = True
+_SIGNS = np.concatenate([span_hashes(np.frombuffer(c.encode(), np.uint8), np.zeros(1, np.int64), np.full(1, len(c.encode()))) for c in CURRENCIES[1:]])
 _MARK = mixed(np.arange(1, 5, dtype=np.uint64) * MIX[2])
 
 
+def _is_unit(value: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(_UNIT, value)
+    at[at == len(_UNIT)] = 0
+    return _UNIT[at] == value
+
+
+def spelled(texts: pa.Array) -> pa.Array:
+    """Texts with each unit sign as a word after its number: $99 as 99 $, 50% as 50 %."""
+    made = texts.cast(pa.large_string())
+    if pc.any(pc.match_substring_regex(made, "[" + "".join(CURRENCIES) + "] ?[0-9]|[0-9] ?[" + "".join(AFTER) + "]")).as_py():
+        made = pc.replace_substring_regex(made, r"([" + "".join(CURRENCIES) + r"]) ?([0-9]+(?:[.,][0-9]+)*)", r"\2 \1 ")
+        made = pc.replace_substring_regex(made, r"([0-9]) ?([" + "".join(AFTER) + r"])", r"\1 \2 ")
+    return made
+
+
+def signs_of(data: np.ndarray, n: int) -> np.ndarray:
+    """1 at the bytes of terms' signs: letters, digits, bytes beyond ASCII, points inside numbers, unit signs after numbers."""
+    inside = np.zeros(n + 2, np.int8)
+    inside[1:-1] = _TERM[data]
+    if n > 2:
+        mid = np.flatnonzero(((data[1:-1] == 46) | (data[1:-1] == 44)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]) + 1  # 3.5 and 1,000 are one number
+        inside[mid + 1] = 1
+        for c in "$%":
+            inside[np.flatnonzero((data[2:] == ord(c)) & (data[1:-1] == 32) & _DIGIT[data[:-2]]) + 3] = 1
+    return inside
+
+
+def _lowered(data: np.ndarray) -> np.ndarray:
+    return np.where((data >= 65) & (data < 91), data + 32, data).astype(np.uint8)
+
+
+def _values(texts: pa.Array, data: np.ndarray, offsets: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Hashes of the lower-cased terms; letters beyond ASCII are lower-cased too, text by text where that changes sizes."""
+    low = _lowered(data)
+    if len(data) and data.max() >= 0xC3:
+        made, at = texts_of(pc.utf8_lower(texts.cast(pa.large_string())))
+        for i in range(len(offsets) - 1) if len(made) != len(low) else ():
+            if at[i + 1] - at[i] == offsets[i + 1] - offsets[i]:
+                low[offsets[i] : offsets[i + 1]] = made[at[i] : at[i + 1]]
+        if len(made) == len(low):
+            low = made
+    return span_hashes(low, s, e)
+
+
 @dataclass
 class Terms:
     value: np.ndarray  # hash of the lower-cased word
@@ -74,13 +131,11 @@ class Terms:
     run: np.ndarray  # the value, or for a name that of all the names it stands among
 
 
-def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
+def terms(texts: pa.Array) -> Terms:
+    """Of the texts, which ``spelled`` has made."""
+    data, offsets = texts_of(texts)
     n = len(data)
-    inside = np.zeros(n + 2, np.int8)
-    inside[1:-1] = _TERM[data]
-    if n > 2:  # 3.5 and 1,000 are one number
-        mid = np.flatnonzero(((data[1:-1] == 46) | (data[1:-1] == 44)) & _DIGIT[data[:-2]] & _DIGIT[data[2:]]) + 1
-        inside[mid + 1] = 1
+    inside = signs_of(data, n)
     cut = np.diff(inside)
     begins, ends = cut[:-1] == 1, cut[1:] == -1
     touch = offsets[1:-1]
@@ -88,21 +143,27 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> Terms:
     touch = touch[(inside[touch] == 1) & (inside[touch + 1] == 1)]
     begins[touch], ends[touch - 1] = True, True
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    value = _hash(data, s, e)
+    digit = _DIGIT[data[s]] if len(s) else np.zeros(0, bool)
+    if digit.any():  # 99km is two terms
+        letters = np.flatnonzero(_TERM[data] & ~_DIGIT[data])
+        first = np.append(letters, n)[np.searchsorted(letters, s)]
+        joined = np.flatnonzero(digit & (first < e))
+        joined = joined[_is_unit(span_hashes(_lowered(data), first[joined], e[joined]))]
+        s, e = np.sort(np.append(s, first[joined])), np.sort(np.append(e, first[joined]))
+        digit = _DIGIT[data[s]]
+    value = _values(texts, data, offsets, s, e)
     kind = np.zeros(len(s), np.int8)
     doc = np.searchsorted(offsets, s, "right") - 1
     if len(s):
-        digit = _DIGIT[data[s]]
         prior = np.concatenate([[0], np.cumsum(_STOP[data])])
         opens = np.ones(len(s), bool)
         opens[1:] = (prior[s[1:]] > prior[e[:-1]]) | (doc[1:] != doc[:-1])
-        at = np.searchsorted(_UNIT, value)
-        at[at == len(_UNIT)] = 0
         after = np.zeros(len(s), bool)
         after[1:] = digit[:-1] & (doc[1:] == doc[:-1])
-        inner = np.concatenate([[0], np.cumsum(_UPPER[data])])
-        kind[_UPPER[data[s]] & (inner[e] - inner[s] == 1) & (e - s > 1)] = NAME
-        kind[(_UNIT[at] == value) & after] = UNIT
+        capital = _CAPITAL[data, np.append(data[1:], 0)]
+        inner = np.concatenate([[0], np.cumsum(capital)])
+        kind[capital[s] & (inner[e] - inner[s] == 1) & (e - s > 1 + (data[s] >= 128))] = NAME
+        kind[(_is_unit(value) | _SIGN[data[s]] | np.isin(value, _SIGNS)) & after] = UNIT
         kind[digit] = NUMBER
     sure = kind.copy()
     if len(s):
@@ -129,35 +190,105 @@ def _rolled(symbol: np.ndarray, size: int) -> np.ndarray:
 
 
 def _variants(t: Terms, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of each variant, hashes and first terms of the windows that differ from the first one's."""
+    """Of each variant, hashes and first terms of the windows that differ from an earlier one's and are templates or all words."""
     base = _rolled(t.symbols[0], size)
     whole = t.doc[: len(base)] == t.doc[size - 1 : size - 1 + len(base)]
-    for k, symbol in enumerate(t.symbols):
+    for k, (symbol, kind) in enumerate(zip(t.symbols, (t.sure, t.kind, None), strict=True)):
         h = _rolled(symbol, size) if k else base
-        at = np.flatnonzero(whole & (h != base) if k else whole)
+        go = whole & (h != base) if k else whole
+        if kind is not None:
+            words = np.concatenate([[0], np.cumsum(kind == PLAIN)])
+            plain = words[size : size + len(h)] - words[: len(h)]
+            go = go & ((plain >= min(size, LEAST_PLAIN)) | (plain == size))
+        elif k:  # all words: also where the first variant's window is no template
+            go = whole & (h != base)
+        at = np.flatnonzero(go)
         yield h[at], at
 
 
+@dataclass
+class Windows:
+    """Of all items' windows of one size: hashes and items in order, each group's windows (first terms) in order."""
+
+    hash: np.ndarray
+    item: np.ndarray
+    begin: np.ndarray  # of each group (hash, item) in place, and the end
+    place: np.ndarray
+
+
 @dataclass
 class Items:
     ids: np.ndarray
     terms: Terms
-    hashes: dict[int, tuple[np.ndarray, np.ndarray]]  # by window size: sorted hashes, their first terms
-    windows: np.ndarray  # of each item
+    windows: dict[int, Windows]  # by size
+    count: np.ndarray  # of each item's terms
+    size: np.ndarray  # of each item's windows
+
+
+def window_sizes(count: np.ndarray) -> np.ndarray:
+    """By an item's number of terms."""
+    return np.where(count >= SHORT, np.clip(count // 3, TEMPLATE, WINDOW), count)
 
 
 def items_of(ids: list[int], texts: list[str]) -> Items:
-    t = terms(*texts_of(pa.array(texts, pa.large_string())))
+    t = terms(spelled(pa.array(texts, pa.large_string())))
     count = np.diff(t.first)
-    size = np.where(count >= WINDOW, WINDOW, np.where(count >= SHORTEST, count, 0))
-    hashes = {}
+    size = window_sizes(count)
+    found = {}
     for z in np.unique(size[size > 0]).tolist():
-        h, at = (np.concatenate(c) for c in zip(*_variants(t, z), strict=True))
-        own = size[t.doc[at]] == z
+        every = list(_variants(t, z))
+        if z < TEMPLATE:
+            values = _rolled(t.symbols[2], z)
+            every = [(values, np.arange(len(values)))]
+        h, at = (np.concatenate(c) for c in zip(*every, strict=True))
+        own = (size[t.doc[at]] == z) & (t.doc[at] == t.doc[np.minimum(at + z - 1, len(t.doc) - 1)])
         h, at = h[own], at[own]
-        order = np.argsort(h, kind="stable")
-        hashes[z] = (h[order], at[order])
-    return Items(np.asarray(ids, np.int64), t, hashes, np.where(size > 0, count - size + 1, 0))
+        order = np.lexsort((at, t.doc[at], h))
+        h, at = h[order], at[order]
+        item = t.doc[at]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1])
+        begin = np.flatnonzero(new)
+        found[z] = Windows(h[begin], item[begin], np.append(begin, len(h)), at)
+    return Items(np.asarray(ids, np.int64), t, found, count, size)
+
+
+def paired(w: Windows, h: np.ndarray, x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of windows x of texts and windows of items with the same hash, at most one for each x and item of several."""
+    order = np.lexsort((x, h))
+    h, x, doc = h[order], x[order], doc[order]
+    lo, hi = np.searchsorted(w.hash, h, "left"), np.searchsorted(w.hash, h, "right")
+    n = hi - lo
+    group = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+    x, doc = np.repeat(x, n), np.repeat(doc, n)
+    first, many = w.begin[group], w.begin[group + 1] - w.begin[group]
+    y = w.place[first]
+    if len(x) and many.max() > 1:
+        key = doc * (int(w.item.max()) + 1) + w.item[group]  # of a text and an item
+        order = np.lexsort((x, group, key))
+        key, x, group, first, many, y = (c[order] for c in (key, x, group, first, many, y))
+        head = np.ones(len(x), bool)
+        head[1:] = (key[1:] != key[:-1]) | (group[1:] != group[:-1])
+        start = np.flatnonzero(head)
+        y = w.place[first + (np.arange(len(x)) - np.repeat(start, np.diff(start, append=len(x)))) % many]
+        once = np.flatnonzero(many == 1)
+        once = once[np.lexsort((x[once], key[once]))]
+        some = np.flatnonzero(many > 1)
+        if len(once):
+            span = int(x.max()) + 1
+            at = np.searchsorted(key[once].astype(np.int64) * span + x[once], key[some].astype(np.int64) * span + x[some])
+            left, right = once[np.maximum(at - 1, 0)], once[np.minimum(at, len(once) - 1)]
+            far = lambda o: np.where(key[o] == key[some], np.abs(x[o] - x[some]), span)
+            near = np.where(far(left) <= far(right), left, right)
+            known = key[near] == key[some]
+            some, near = some[known], near[known]
+            target = x[some] - x[near] + y[near]
+            wide = int(w.place.max()) + 2
+            of = np.repeat(np.arange(len(w.hash)), np.diff(w.begin))
+            k = np.searchsorted(of.astype(np.int64) * wide + w.place, group[some].astype(np.int64) * wide + np.clip(target, 0, wide - 1))
+            below, above = np.clip(k - 1, first[some], first[some] + many[some] - 1), np.clip(k, first[some], first[some] + many[some] - 1)
+            y[some] = np.where(np.abs(w.place[below] - target) <= np.abs(w.place[above] - target), w.place[below], w.place[above])
+    return x, y
 
 
 def consistent(a: Terms, x: np.ndarray, b: Terms, y: np.ndarray, size: int) -> np.ndarray:
@@ -171,9 +302,8 @@ def consistent(a: Terms, x: np.ndarray, b: Terms, y: np.ndarray, size: int) -> n
     return ok
 
 
-def one_to_one(items: Items, t: Terms, windows: np.ndarray) -> bool:
-    """Whether the slots of all windows of one chain together go one to one, by terms or by runs of names."""
-    z = min(WINDOW, int(np.diff(items.terms.first)[windows[0, 1]]))
+def one_to_one(items: Items, t: Terms, windows: np.ndarray, z: int) -> bool:
+    """Whether the slots of windows of z terms together go one to one, by terms or by runs of names."""
     x, y = ((c[:, None] + np.arange(z)).ravel() for c in (windows[:, 2] + windows[:, 3], windows[:, 3]))
     slot = (items.terms.kind[y] > 0) | (t.kind[x] > 0)
     x, y = x[slot], y[slot]
@@ -184,20 +314,36 @@ def one_to_one(items: Items, t: Terms, windows: np.ndarray) -> bool:
     return False
 
 
-def chains(windows: np.ndarray, least: float) -> list[np.ndarray]:
-    """Of the windows of a text and an item, in order of alignment and item term: the longest chain up to each run of
-    windows, and each alignment alone, if it has at least so many, longest first. A chain is windows of ascending terms
-    of both, each window's alignment at most WINDOW terms off the one's before."""
+def whole_alignment(items: Items, t: Terms, windows: np.ndarray) -> np.ndarray:
+    """The windows of one term each of a chain's whole item, each on the alignment of the nearest window before it, where
+    both texts have placeholders of one kind."""
+    doc, item = windows[0, :2]
+    y = np.arange(items.terms.first[item], items.terms.first[item + 1])
+    shift = windows[np.maximum(np.searchsorted(windows[:, 3], y, "right") - 1, 0), 2]
+    x = np.clip(y + shift, t.first[doc], t.first[doc + 1] - 1)
+    held = (x == y + shift) & (items.terms.kind[y] > 0) & (items.terms.kind[y] == t.kind[x])
+    return np.stack([np.full(len(y), doc), np.full(len(y), item), x - y, y], axis=1)[held]
+
+
+def covered(y: np.ndarray, z: int) -> int:
+    """Terms of an item in windows of z terms that begin at the ascending places y."""
+    return int(np.minimum(np.diff(y), z).sum()) + z
+
+
+def chains(windows: np.ndarray, z: int, least: float) -> list[np.ndarray]:
+    """Of the windows of a text and an item, in order of alignment and item term: the chain of most terms up to each run
+    of windows, and each alignment alone, if it covers at least so many terms, most first. A chain is windows of
+    ascending terms of both, each window's alignment at most WINDOW terms off the one's before."""
     cut = np.flatnonzero((np.diff(windows[:, 2]) != 0) | (np.diff(windows[:, 3]) != 1)) + 1
     head, tail = np.append(0, cut), np.append(cut, len(windows)) - 1
     order = np.lexsort((windows[head, 2], windows[head, 3]))
     head, tail = head[order], tail[order]
     shift, y0, y1 = windows[head, 2], windows[head, 3], windows[tail, 3]
-    best, back, begin = y1 - y0 + 1, np.full(len(head), -1), y0.copy()
+    best, back, begin = y1 - y0 + z, np.full(len(head), -1), y0.copy()
     for k in range(1, len(head)):
         near = np.flatnonzero(np.abs(shift[:k] - shift[k]) <= WINDOW)
         start = np.maximum(y0[k], np.maximum(y1[near], y1[near] + shift[near] - shift[k]) + 1)
-        total = np.where(start <= y1[k], best[near] + y1[k] - start + 1, 0)
+        total = np.where(start <= y1[k], best[near] + np.minimum(y1[k] - y1[near], y1[k] - start + z), 0)
         if len(near) and total.max() > best[k]:
             m = int(total.argmax())
             best[k], back[k], begin[k] = total[m], near[m], start[m]
@@ -210,24 +356,21 @@ def chains(windows: np.ndarray, least: float) -> list[np.ndarray]:
             parts.append(windows[head[k] + begin[k] - y0[k] : tail[k] + 1])
             k = back[k]
         out.append(np.concatenate(parts[::-1]))
-    out += [x for x in np.split(windows, np.flatnonzero(np.diff(windows[:, 2])) + 1) if len(x) >= least]
-    return sorted(out, key=len, reverse=True)
+    out += [x for x in np.split(windows, np.flatnonzero(np.diff(windows[:, 2])) + 1) if covered(x[:, 3], z) >= least]
+    return sorted(out, key=lambda x: -covered(x[:, 3], z))
 
 
 def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each contaminated pair: text, item, share of the item's windows, whether slots differ."""
-    t = terms(data, offsets)
+    """Of each contaminated pair: text, item, share of the item's terms, whether slots differ."""
+    t = terms(spelled(pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))))
     found = []
-    for z, (hashes, places) in items.hashes.items():
+    for z, w in items.windows.items():
         h, at = (np.concatenate(c) for c in zip(*_variants(t, z), strict=True))
-        lo = np.searchsorted(hashes, h, "left")
-        some = np.flatnonzero(hashes[np.minimum(lo, len(hashes) - 1)] == h)
+        lo = np.searchsorted(w.hash, h, "left")
+        some = np.flatnonzero(w.hash[np.minimum(lo, len(w.hash) - 1)] == h)
         if not len(some):
             continue
-        h, lo, x = h[some], lo[some], at[some]
-        n = np.searchsorted(hashes, h, "right") - lo
-        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        x, y = np.repeat(x, n), places[np.repeat(lo, n) + k]
+        x, y = paired(w, h[some], at[some], t.doc[at[some]])
         x, y = np.unique(np.stack([x, y], axis=1), axis=0).T
         ok = consistent(t, x, items.terms, y, z)
         x, y = x[ok], y[ok]
@@ -247,13 +390,17 @@ def matches(items: Items, data: np.ndarray, offsets: np.ndarray) -> tuple[np.nda
     head = np.flatnonzero(new)
     count = np.diff(head, append=len(m))
     told = []
-    for k in np.flatnonzero(count >= COVER * items.windows[m[head, 1]]).tolist():
+    for k in np.flatnonzero(count * items.size[m[head, 1]] >= COVER * items.count[m[head, 1]]).tolist():
         own = m[head[k] : head[k] + count[k]]
-        total = items.windows[own[0, 1]]
+        total, z = items.count[own[0, 1]], int(items.size[own[0, 1]])
         firm = own[own[:, 5] == 1]  # without renamed words that begin sentences, which need not be names
-        for chain in (c for rows in ((own,) if len(firm) == len(own) else (own, firm)) if len(rows) for c in chains(rows, COVER * total)):
-            if one_to_one(items, t, chain):
-                told.append((own[0, 0], own[0, 1], len(chain) / total, not chain[:, 4].all()))
+        every = [(c, False) for c in chains(own, z, COVER * total)]
+        if 0 < len(firm) < len(own):
+            every += [(c, True) for c in chains(firm, z, COVER * total)]
+        for chain, partial in every:
+            left_out = partial and not chain[:, 4].all()  # renamed, so the words left out must be renamed alike
+            if one_to_one(items, t, chain, z) and not (left_out and not one_to_one(items, t, whole_alignment(items, t, chain), 1)):
+                told.append((own[0, 0], own[0, 1], covered(chain[:, 3], z) / total, not chain[:, 4].all()))
                 break
     if not told:
         return none, none, np.zeros(0), none.astype(bool)
@@ -274,7 +421,7 @@ def _rows(shared):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per contaminated document and item: doc_id, item_id, coverage (share of windows), reparameterised."""
+    """Per contaminated document and item: doc_id, item_id, coverage (share of terms), reparameterised."""
     kind = "doc_id long, item_id long, coverage double, reparameterised boolean"
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     out, block, size = None, [], 0

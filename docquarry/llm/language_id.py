@@ -4,13 +4,14 @@ Each language has a probability for every piece of a fixed public vocabulary. A
 its segmentations into pieces, by a forward pass; piece probabilities are fitted by expectation maximisation with the
 backward pass. A text's score is the product over its words.
 
-Words are runs of ASCII letters and bytes beyond ASCII, in lower case, with the vocabulary's word-start sign; a run of
-over LONGEST bytes is scored as runs of LONGEST bytes. A byte may also stand alone, at one low probability for all
-languages.
+Words are runs of ASCII letters and bytes beyond ASCII, in lower case, with the vocabulary's word-start sign; in
+scripts without spaces a word may be a whole text. The sum is over all segmentations of the whole word, however long:
+forward values are rescaled every RESCALE bytes. Only for learning is a longer word taken as parts of FIT_LONGEST
+bytes, cut between characters. A byte may also stand alone, at one low probability for all languages.
 
 Edge cases: null texts and texts without a letter are ``und`` with score 0; so is every text if nothing could be
 learned; a null doc_id is not learned from; repeated rows give repeated rows; ties go to the first language by name;
-an empty table gives an empty table; other columns, whatever their names, are left out.
+very long texts are scored whole; an empty table gives an empty table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -25,10 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import crc_part, labelled_sample
-from .textbytes import MIX, blocks, mixed, range_hashes, texts_of
+from .textbytes import MIX, blocks, span_hashes, texts_of
 
-#: Bounds of the sample; longest word in bytes; probability of a byte alone; added to every piece's count.
-PER_LABEL, MOST_CHARS, LONGEST, ALONE, ADDED = 250, 6_000, 64, 1e-4, 0.02
+#: Bounds of the sample; bytes of a word's parts in learning; probability of a byte alone; added to every piece's count.
+PER_LABEL, MOST_CHARS, FIT_LONGEST, ALONE, ADDED = 250, 6_000, 64, 1e-4, 0.02
+#: Bytes of words between two rescalings; a byte takes at most a factor ALONE, so nothing runs below the least number.
+RESCALE = 16
 BLOCK_BYTES = 2 << 20
 START = 1  # the byte for the word-start sign
 _LETTER = np.zeros(256, bool)
@@ -97,7 +100,7 @@ class Lattice:
 
     first: np.ndarray
     last: np.ndarray
-    by_offset: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # start, end, piece (-1: a byte alone)
+    by_offset: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]  # offset in the word, start, end, piece (-1: a byte alone)
     size: int
 
 
@@ -113,11 +116,13 @@ def lattice(trie: Trie, data: np.ndarray, start: np.ndarray, size: np.ndarray) -
     begin, length, piece = map(np.concatenate, (begin, length, piece))
     offset = begin - start[word[begin]]
     begin = begin + word[begin]
-    order = np.lexsort((piece < 0, length, offset))
-    key = (offset * 512 + length * 2 + (piece < 0))[order]
+    key = offset * 2 + (piece < 0)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
     cut = np.flatnonzero(np.diff(key)) + 1
     b, e, p = begin[order], (begin + length)[order], piece[order]
-    groups = list(zip(np.split(b, cut), np.split(e, cut), np.split(p, cut), strict=True)) if len(b) else []
+    at = (key[np.append(0, cut)] // 2).tolist() if len(key) else []
+    groups = list(zip(at, np.split(b, cut), np.split(e, cut), np.split(p, cut), strict=True)) if len(b) else []
     first = start + np.arange(len(size))
     return Lattice(first, first + size, groups, len(data) + len(size))
 
@@ -126,18 +131,40 @@ def forward(x: Lattice, p: np.ndarray) -> np.ndarray:
     """p: pieces and then the byte alone, by languages. Returns places by languages."""
     a = np.zeros((x.size, p.shape[1]))
     a[x.first] = 1
-    for b, e, piece in x.by_offset:  # the ends within a group differ
+    for _, b, e, piece in x.by_offset:  # the ends within a group differ
         a[e] += a[b] * p[piece]
     return a
 
 
+def log_forward(x: Lattice, p: np.ndarray, depth: int) -> np.ndarray:
+    """Log of the forward values at the words' ends, words by languages. No piece has more than ``depth`` bytes."""
+    a = np.zeros((x.size, p.shape[1]))
+    a[x.first] = 1
+    size = x.last - x.first
+    scale = np.zeros((len(size), p.shape[1]))
+    order = np.argsort(size, kind="stable")  # longer words are the end of this order
+    due, ahead = RESCALE, np.arange(depth + 1)
+    for offset, b, e, piece in x.by_offset:
+        if offset >= due:
+            due = offset + RESCALE
+            long = order[np.searchsorted(size[order], offset, "right") :]
+            if len(long):  # all that is still to come starts from these places
+                for part in np.array_split(long, -(-len(long) // 4096)):
+                    place = np.minimum(x.first[part][:, None] + offset + ahead, x.last[part][:, None])
+                    most = a[place].max(1)
+                    scale[part] += np.log(most)
+                    a[place] = a[place] / most[:, None]
+        a[e] += a[b] * p[piece]
+    return np.log(a[x.last]) + scale
+
+
 def expected(x: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     """Expected counts of pieces; weight: of words, by languages."""
     a = forward(x, p)
     z = np.zeros_like(a)
     z[x.last] = weight / np.maximum(a[x.last], 1e-300)
     counts = np.zeros_like(p)
-    for b, e, piece in reversed(x.by_offset):
+    for _, b, e, piece in reversed(x.by_offset):
         flow = p[piece] * z[e]
         z[b] += flow
         for k in range(p.shape[1]):
@@ -145,8 +172,11 @@ def expected(x: Lattice, p: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return counts
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Different words' bytes, starts and sizes; for each word of the texts, which one it is and its text."""
+def words_of(data: np.ndarray, offsets: np.ndarray, longest: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different words' bytes, starts and sizes; for each word of the texts, which one it is and its text.
+
+    With ``longest``, words of more bytes come in parts, cut between characters.
+    """
     n = len(data)
     inside = np.zeros(n + 2, np.int8)
     inside[1:-1] = _LETTER[data]
@@ -157,13 +187,15 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     touch = touch[(inside[touch] == 1) & (inside[touch + 1] == 1)]
     begins[touch], ends[touch - 1] = True, True
     s, e = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    parts = -(-(e - s) // LONGEST)
-    if len(s) and parts.max() > 1:
+    if longest and len(s):
+        parts = -(-(e - s) // longest)
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        s = np.repeat(s, parts) + k * LONGEST
-        e = np.minimum(np.repeat(e, parts), s + LONGEST)
+        s, e, last = np.repeat(s, parts) + k * longest, np.repeat(e, parts), np.append(np.diff(k) <= 0, True)
+        for _ in range(3):  # a character has at most three bytes after its first
+            s[(k > 0) & (data[s] & 0xC0 == 0x80)] -= 1
+        e = np.where(last, e, np.append(s[1:], 0))
     doc = np.searchsorted(offsets, s, "right") - 1
-    h = range_hashes(mixed((data.astype(np.uint64) + np.uint64(1)) * MIX[0]), s, e)
+    h = span_hashes(data, s, e)
     _, one, which = np.unique(h, return_index=True, return_inverse=True)
     size = e[one] - s[one] + 1
     start = np.cumsum(size) - size
@@ -187,7 +219,7 @@ class Marginalised:
         out = np.zeros((n, len(self.languages)))
         if len(size):
             x = lattice(self.trie, words, start, size)
-            log = np.log(np.maximum(forward(x, self.p)[x.last], 1e-300))
+            log = log_forward(x, self.p, max(self.trie.depth, 1))
             for k in range(out.shape[1]):
                 out[:, k] = np.bincount(doc, log[which, k], n)
         return out
@@ -208,7 +240,7 @@ def fit(texts: list[str], languages: list[str], path: str, rounds: int = 4) -> M
     p = np.full((len(trie.pieces) + 1, max(1, len(names))), 1 / max(1, len(trie.pieces)))
     p[-1] = ALONE
     if names:
-        words, start, size, which, doc = words_of(*texts_of(pc.utf8_lower(pa.array(texts, pa.large_string()))))
+        words, start, size, which, doc = words_of(*texts_of(pc.utf8_lower(pa.array(texts, pa.large_string()))), FIT_LONGEST)
         label = np.searchsorted(names, languages)
         weight = np.bincount(which * len(names) + label[doc], minlength=len(size) * len(names)).reshape(len(size), len(names)).astype(float)
         x = lattice(trie, words, start, size)

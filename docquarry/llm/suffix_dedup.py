@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import kept
-from .textbytes import MIX, blocks, list_column, mixed, range_hashes, texts_of, words8
+from .textbytes import MIX, blocks, list_column, mixed, texts_of, words8
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text at a time; most strings in a piece; most pieces of a gram in a block; bytes of pieces in a block.
@@ -38,6 +38,36 @@ _U = np.uint64
 PIECE = "gram long, content long, doc_id long, start int, count int, folds int"
 
 
+def string_hashes(eight: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of the bytes start to end (64 at least) of each pair, from the eight bytes at each position.
+
+    Hashes of 16, 32, 64 and 128 bytes are made from those of their halves, each through a finaliser; a string takes
+    the blocks from its start on, and the one that ends with it.
+    """
+    def doubled(h: np.ndarray, width: int) -> np.ndarray:
+        out = h.copy()
+        out[:-width] = mixed(h[:-width] * MIX[3] + h[width:]) if len(h) > width else out[:-width]
+        return out
+
+    h = mixed(eight * MIX[0] + _U(seed))
+    for width in (8, 16, 32):
+        h = doubled(h, width)
+    size = end - start
+    out = mixed(size.astype(np.uint64) * MIX[1] + h[end - 64])
+    short = size < 128
+    out = np.where(short, mixed((out ^ h[start]) * MIX[3]), out)
+    if short.all():
+        return out
+    h = doubled(h, 64)
+    live, k = np.flatnonzero(~short), 0
+    out[live] = mixed((out[live] ^ h[end[live] - 128]) * MIX[3])
+    while len(live):
+        out[live] = mixed((out[live] ^ h[start[live] + k]) * MIX[3])
+        k += 128
+        live = live[size[live] - k >= 128]
+    return out
+
+
 def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of each piece: gram, hash of its bytes, text, first string's place in the data, number of strings, and 1 if the
     gram stands in it several times, as then it may repeat itself."""
@@ -79,9 +109,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     across = np.arange(width)
     ahead = start + every[start[:, None] + across].argmin(1)
     behind = start + count - 1 + width - 1 - every[(start + count - 1)[:, None] + across[::-1]].argmin(1)
-    eight *= MIX[0]
-    eight = mixed(eight)
-    content = range_hashes(eight, start, start + count + LENGTH - 1 - 7)
+    content = string_hashes(eight, start, start + count + LENGTH - 1)
     return h[start].view(np.int64), content.view(np.int64), doc, start, count, (ahead != behind).astype(np.int64)
 
 
@@ -334,7 +362,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stay = np.flatnonzero(valid & (best == place) & hot[piece])
         if len(stay):
             at = (offsets[:-1][piece[stay]] + stay - begin[piece[stay]]).astype(np.int64)
-            one, two = (range_hashes(mixed((raw.astype(np.uint64) + _U(1)) * m), at, at + LENGTH).view(np.int64) for m in MIX[:2])
+            one, two = (string_hashes(words8(raw), at, at + LENGTH, seed).view(np.int64) for seed in (1, 2))
             for a in range(0, len(stay), 100_000):
                 s = slice(a, a + 100_000)
                 yield pa.RecordBatch.from_arrays([pa.array(doc[piece[stay[s]]]), pa.array(where[stay[s]].astype(np.int32)), pa.array(np.ones(len(stay[s]), np.int32)), pa.array(one[s]), pa.array(two[s])], names)

@@ -1,11 +1,13 @@
 """Toxicity by multiple-instance learning: a document is toxic if any of its sentences is.
 
 A sentence's score is a logistic function of its different words and of their beginnings (insults inflect); a
-document's is the noisy-or of its sentences'. Weights are fitted from document labels alone, and the sentences that carry a document are located by byte span.
+document's is the noisy-or of its sentences'. All words and beginnings of the sample are fitted, for either label, from
+document labels alone; the decay of weights, stronger for those of fewer documents, is the only control. The sentences that carry a document are located by
+byte span.
 
 Edge cases: null and empty texts have no sentence, score 0 and are predicted 0; a null doc_id or label is not learned
-from; repeated rows give repeated rows; without any labelled row every score is 0; an empty table gives an empty
-table; other columns, whatever their names, are left out.
+from; repeated rows give repeated rows; a tie at 0.5 is predicted 1; very long texts are scored whole; without any
+labelled row every score is 0; an empty table gives an empty table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .sampling import crc_part, labelled_sample
-from .textbytes import LOWER, MIX, blocks, mixed, range_hashes, texts_of
+from .textbytes import LOWER, blocks, span_hashes, texts_of
 
-#: Bounds of the sample and of the model.
-PER_LABEL, MOST_CHARS, MOST_WORDS, LEAST_DOCS = 2500, 12_000, 60_000, 3
-#: Lengths in bytes of words' beginnings; how many standard deviations more toxic documents than by chance a word needs.
-BEGINNINGS, LEAST_Z = (4, 5, 6, 7), 4.0
+#: Bounds of the sample.
+PER_LABEL, MOST_CHARS = 2500, 12_000
+#: Lengths in bytes of words' beginnings; how often a toxic document counts; documents at which a word's decay doubles.
+BEGINNINGS, TOXIC_COUNTS, DOUBLES_AT = (4, 5, 6, 7), 3.0, 30.0
 BLOCK_BYTES, FIT_TEXTS = 1 << 20, 200
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -59,11 +61,11 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> Sentences:
     touch = touch[(inside[touch] == 1) & (inside[touch + 1] == 1)]
     begins[touch], ends[touch - 1] = True, True
     ws, we = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    values = mixed((LOWER[data].astype(np.uint64) + np.uint64(1)) * MIX[0])
-    h, sent = [range_hashes(values, ws, we)], [np.searchsorted(at, ws, "right") - 1]
+    low = LOWER[data]
+    h, sent = [span_hashes(low, ws, we)], [np.searchsorted(at, ws, "right") - 1]
     for k in BEGINNINGS:
         long = np.flatnonzero(we - ws >= k)
-        h.append(range_hashes(values, ws[long], ws[long] + k) ^ MIX[3])
+        h.append(span_hashes(low, ws[long], ws[long] + k, seed=1))
         sent.append(sent[0][long])
     h, sent = np.concatenate(h), np.concatenate(sent)
     order = np.lexsort((h, sent))
@@ -96,56 +98,56 @@ class NoisyOr:
         return -np.expm1(-np.bincount(s.doc, np.logaddexp(0, z), n))
 
 
-def fit(texts: list[str], labels: list[int], steps: int = 200, rate: float = 0.1, decay: float = 2e-4) -> NoisyOr:
-    """Adam on the mean log loss over documents, with L2 decay of word weights."""
+@dataclass
+class Sample:
+    """Which word (col) stands in which sentence (row), each sentence's document, the documents' labels and counts."""
+
+    col: np.ndarray
+    row: np.ndarray
+    doc: np.ndarray
+    y: np.ndarray
+    weight: np.ndarray
+
+
+def gradient(x: np.ndarray, s: Sample) -> tuple[float, np.ndarray]:
+    """The mean weighted log loss over documents and its gradient; x: the words' weights, then the bias."""
+    z = x[-1] + np.bincount(s.row, x[s.col], len(s.doc))
+    total = np.maximum(np.bincount(s.doc, np.logaddexp(0, z), len(s.y)), 1e-9)  # minus log of "no sentence is toxic"
+    loss = (s.weight * np.where(s.y == 1, -np.log(-np.expm1(-total)), total)).mean()
+    up = s.weight * np.where(s.y == 1, -1 / np.expm1(total), 1.0)
+    dz = up[s.doc] / (1 + np.exp(-z)) / len(s.y)
+    return float(loss), np.append(np.bincount(s.col, dz[s.row], len(x) - 1), dz.sum())
+
+
+def fit(texts: list[str], labels: list[int], steps: int = 150, rate: float = 0.1, decay: float = 2e-4) -> NoisyOr:
+    """Adam on the mean weighted log loss over documents, with L2 decay of word weights."""
     empty = NoisyOr(np.zeros(0, np.uint64), np.zeros(0), -40.0)
-    if not texts:
-        return empty
     y = np.asarray(labels, float)
     if not y.any():
         return empty
-    # In parts, and twice: first every word's documents are counted, then the chosen words' places are gathered
+    # in parts, and twice, to hold little: first every word is listed, then its places are gathered
     cuts = [(a, min(a + FIT_TEXTS, len(texts))) for a in range(0, len(texts), FIT_TEXTS)]
     part = lambda a, b: sentences(*texts_of(pa.array(texts[a:b], pa.large_string())))
-    counted = []
-    for a, b in cuts:
-        s = part(a, b)
-        order = np.lexsort((s.doc[s.of], s.word))
-        word, doc = s.word[order], s.doc[s.of][order]
-        new = np.ones(len(word), bool)
-        new[1:] = (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])
-        words, at, seen = np.unique(word[new], return_inverse=True, return_counts=True)
-        counted.append((words, seen, np.bincount(at, y[a:b][doc[new]], len(words))))
-    words, at = np.unique(np.concatenate([c[0] for c in counted]), return_inverse=True)
-    seen, toxic = (np.bincount(at, np.concatenate([c[k] for c in counted]), len(words)) for k in (1, 2))
+    words = np.unique(np.concatenate([np.unique(part(a, b).word) for a, b in cuts]))
     if not len(words):
         return empty
-    chance = seen * y.mean()
-    z = (toxic - chance) / np.sqrt(chance * (1 - y.mean()) + 1e-9)
-    keep = np.flatnonzero((toxic >= LEAST_DOCS) & (z >= min(LEAST_Z, np.quantile(z, 0.999))))
-    words = words[np.sort(keep[np.argsort(-z[keep], kind="stable")[:MOST_WORDS]])]
-    cols, rows, docs_of, n = [], [], [], 0
+    cols, rows, docs_of, n, held_by = [], [], [], 0, np.zeros(len(words))
     for a, b in cuts:
         s = part(a, b)
-        if len(words):
-            at = np.searchsorted(words, s.word)
-            at[at == len(words)] = 0
-            known = words[at] == s.word
-            cols.append(at[known])
-            rows.append(s.of[known] + n)
+        cols.append(np.searchsorted(words, s.word).astype(np.int32))
+        pairs = np.unique(cols[-1].astype(np.int64) * FIT_TEXTS + s.doc[s.of])
+        held_by += np.bincount(pairs // FIT_TEXTS, minlength=len(words))
+        rows.append((s.of + n).astype(np.int32))
         docs_of.append(s.doc + a)
         n += len(s.doc)
-    none = [np.zeros(0, np.int64)]
-    col, row, of_doc = np.concatenate(cols + none), np.concatenate(rows + none), np.concatenate(docs_of)
+    sample = Sample(np.concatenate(cols), np.concatenate(rows), np.concatenate(docs_of), y, np.where(y == 1, TOXIC_COUNTS, 1.0))
+    decays = decay * (1 + DOUBLES_AT / held_by)
     x = np.zeros(len(words) + 1)
     x[-1] = -5.0
     m, v = np.zeros_like(x), np.zeros_like(x)
     for t in range(1, steps + 1):
-        z = x[-1] + np.bincount(row, x[col], n)
-        total = np.bincount(of_doc, np.logaddexp(0, z), len(y))
-        up = np.where(y == 1, -1 / np.expm1(np.maximum(total, 1e-9)), 1.0)
-        dz = up[of_doc] / (1 + np.exp(-z)) / len(y)
-        g = np.append(np.bincount(col, dz[row], len(words)) + decay * x[:-1], dz.sum())
+        g = gradient(x, sample)[1]
+        g[:-1] += decays * x[:-1]
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         x -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
     return NoisyOr(words, x[:-1], float(x[-1]))
@@ -172,7 +174,7 @@ def _rows(model):
 
 def score_toxicity(docs: DataFrame, model: NoisyOr) -> DataFrame:
     """Per row: doc_id, score, sentences (byte spans over 0.5 of documents over 0.5, with their scores)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_WORDS weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # the words of a bounded sample
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(_rows(shared), "doc_id long, score double, sentences array<struct<start: long, end: long, score: double>>")
 
 
