@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a key from which it is hot, unless a greater number is needed to have MOST_HOT hot keys at most.
+HOT_ROWS, MOST_HOT = 1000, 10_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,3 +28,19 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     at = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def join_counted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The inner join of left with right, which has one row for each key and n, how many rows of left have it (or more).
+
+    A key of very many rows would put all of them into one task. Keys of more than a MOST_HOT-th of all rows are
+    fewer than MOST_HOT, so their rows of right are broadcast to wherever left's are; the others are shuffled. left is
+    read twice then, so it should be a table or near one.
+    """
+    total, most = right.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    limit = max(HOT_ROWS, total // MOST_HOT)
+    if most <= limit:
+        return left.join(right.drop("n"), keys)
+    hot = right.where(F.col("n") > limit).drop("n")
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col("n") <= limit).drop("n"), keys)
+    return left.join(F.broadcast(hot), keys).unionByName(rest)
