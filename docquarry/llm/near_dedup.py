@@ -5,10 +5,13 @@ A signature has K coordinates of b bits. Split into CHUNKS chunks, two signature
 coordinates left out, which enumerates the one allowed error. So all pairs under the threshold share a key. The least
 similarity is an argument; a lower one takes more chunks, so that a pair just at it is as rarely beyond the threshold.
 
-Equal sets are one class first. Then, for each key, every class is compared with the key's first class and with the
-one before it; links are confirmed on full sets and joined to components. Keys whose classes are still in several
-components then give all pairs across these, which are compared too. So each candidate pair is compared or already
-connected, and no key's rows meet in memory but in bounded blocks.
+Equal sets are one class first. Then, for each key, every class is compared with a first class and with the one before
+it, in its slice of the classes, and the slices' first ones in the same way over all slices, so a key of very many
+classes meets in one task only once a slice; links are confirmed on full sets and joined to components. Keys whose
+classes are still in several components then give all pairs across these, which are compared too. So each candidate
+pair is compared or already connected, and no key's rows meet in memory but in bounded blocks. The blocks of a key of
+more than BLOCK_ROWS classes are made by set size first: similar sets differ in size by no more than the least
+similarity allows, so only blocks of neighbouring sizes meet.
 
 A pair is compared by odd sketches first: PARITY bits, each the parity of the shingles that fall on it. Two sketches
 differ in no more bits than the sets differ in shingles, so a pair that differs in more than the least similarity
@@ -23,15 +26,16 @@ columns, whatever their names, are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import kept
+from .shared import discard, join_counted, kept
 from .textbytes import MIX, Words, blocks, list_column, mixed, shingles, texts_of
 
 WORDS, PERCENT = 5, 85
@@ -147,32 +151,47 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(-1, WIDE)
 
 
+def _firsts(key: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows in order of key: whether a row is its key's first, that first class, the class before."""
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    first = rep[np.flatnonzero(new)][np.cumsum(new) - 1] if len(key) else rep
+    return new, first, np.append(rep[:1], rep[:-1])
+
+
+KEYS = ["key", "rep", "first", "before"]
+
+
 def _keys(batches: Iterator[pa.RecordBatch], chunks: int) -> Iterator[pa.RecordBatch]:
+    """Keys of classes (rep, sig), slice by slice: of each key its first class alone (first is null), and of the
+    slice's others the first class and the one before."""
     for batch in batches:
         for at in range(0, len(batch), 4096):
             part = batch.slice(at, 4096)
-            keys = keys_of(_matrix(part.column(1))[:, :K], chunks)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), K))], ["key", "rep"])
+            key = keys_of(_matrix(part.column(1))[:, :K], chunks).ravel()
+            rep = np.repeat(part.column(0).to_numpy(), K)
+            order = np.lexsort((rep, key))
+            key, rep = key[order], rep[order]
+            new, first, before = _firsts(key, rep)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rep), pa.array(first, mask=new), pa.array(before, mask=new)], KEYS)
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of key and class: those of keys with several classes, each with the key's first class and the one before."""
-    key0, first, last, told = None, 0, 0, False
+    """From rows of ``_keys``, those without a first class in order of key and class: of a key's, all but the first,
+    with that first class and the one before. The other rows pass."""
+    key0, first0, last0 = None, 0, 0
     for batch in batches:
-        key, rep = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        done = batch.column(2).is_valid()
+        yield batch.filter(done)
+        key, rep = (batch.column(k).filter(pc.invert(done)).to_numpy() for k in (0, 1))
         if not len(key):
             continue
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
-        new[0] = key[0] != key0 if key0 is not None else True
-        group = np.cumsum(new) - 1
-        heads = np.flatnonzero(new)
-        start = rep[heads] if new[0] else np.append(first, rep[heads])
-        of = group if new[0] else group + 1
-        before = np.append(last, rep[:-1])
+        new, first, before = _firsts(key, rep)
+        if key0 is not None and key[0] == key0:
+            first, new[0], before[0] = np.where(key == key0, first0, first), False, last0
         other = ~new & (rep != before)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[other], rep[other], start[of[other]], before[other])], ["key", "rep", "first", "before"])
-        key0, first, last = key[-1], start[of[-1]], rep[-1]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[other], rep[other], first[other], before[other])], KEYS)
+        key0, first0, last0 = key[-1], first[-1], rep[-1]
 
 
 def _across(batches: Iterator[pa.RecordBatch], percent: int = PERCENT, chunks: int = CHUNKS) -> Iterator[pa.RecordBatch]:
@@ -240,15 +259,43 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return near.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
+def _cells(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Classes of keys that stand in several components, dealt to groups in which all pairs are compared.
+
+    side 2: pairs within a block; sides 0 and 1: of two blocks.
+    """
+    counted = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    keys = kept(counted.select("key", "n", (F.col("n") > BLOCK_ROWS).alias("hot")), "keys")
+    # similar sets are in one band of sizes or in neighbouring ones; a trace wider than need be, for the logarithm's rounding
+    band = F.floor(F.log("n_shingles") / (log(100 / percent) * (1 + 1e-9))).cast("int")
+    met = join_counted(rows, keys, ["key"]).distinct().join(classes.select("rep", "sig", "n_shingles"), "rep")
+    left_out = F.col("key").bitwiseAND(F.lit(_COORDINATE)).cast("int").alias("coordinate")
+    met = kept(met.select("key", "component", "rep", "sig", left_out, "hot", band.alias("band")), "spread")
+    few = met.where("not hot").select(F.xxhash64("key").alias("group"), "component", "rep", "sig", F.lit(2).alias("side"), "coordinate")
+    bands = met.where("hot").groupBy("key", "band").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS).cast("int"))
+    bands = kept(bands, "bands")
+    beside = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: F.struct((F.col("band") + k).alias("band"), F.struct(F.col("band").alias("band"), F.col("blocks").alias("blocks")).alias("other")))
+    others = bands.select("key", F.inline(beside)).groupBy("key", "band").agg(F.collect_set("other").alias("others"))  # three at most
+    many = join_counted(met.where("hot"), kept(bands.join(others, ["key", "band"]), "others"), ["key", "band"])
+    many = many.withColumn("own", F.struct(F.col("band").alias("band"), F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")))
+    every = F.flatten(F.transform("others", lambda o: F.transform(F.sequence(F.lit(0), o["blocks"] - 1), lambda k: F.struct(o["band"].alias("band"), k.alias("block")))))
+    side = lambda o: F.when(o == F.col("own"), 2).when(F.col("own") < o, 0).otherwise(1).cast("int")
+    one = F.transform(every, lambda o: F.struct(F.xxhash64("key", F.least("own", o), F.greatest("own", o)).alias("group"), side(o).alias("side")))
+    dealt = many.select("component", "rep", "sig", "coordinate", F.inline(one)).select("group", "component", "rep", "sig", "side", "coordinate")
+    return few.unionByName(dealt)
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept; sets are similar that share percent of their union at least."""
     chunks = chunks_of(percent)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     told = kept(base.mapInArrow(_describe, "doc_id long, n_shingles long, one long, two long, sig binary"), "signatures")
     some = told.where("n_shingles > 0 and doc_id is not null")
-    classes = kept(some.groupBy("one", "two").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("rep")), "classes")
-    by_key = classes.select("rep", "sig").mapInArrow(lambda batches: _keys(batches, chunks), "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
-    shared = kept(by_key.mapInArrow(_shared, "key long, rep long, first long, before long"), "shared")
+    classes = kept(some.groupBy("one", "two").agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n_shingles")), "classes")
+    kind = "key long, rep long, first long, before long"
+    keys = classes.select("rep", "sig").mapInArrow(lambda batches: _keys(batches, chunks), kind)
+    met = keys.repartition(F.when(F.col("first").isNull(), F.col("key")).otherwise(F.xxhash64("key", "rep"))).sortWithinPartitions("key", "rep")
+    shared = kept(met.mapInArrow(_shared, kind), "shared")
     first = shared.select(F.col("first").alias("a"), F.col("rep").alias("b")).union(shared.select(F.col("before").alias("a"), F.col("rep").alias("b"))).distinct()
     sig_of = lambda name: classes.select(F.col("rep").alias(name), F.col("sig").alias(f"sig_{name}"))
     tested = first.join(sig_of("a"), "a").join(sig_of("b"), "b").select("a", "b", "sig_a", "sig_b")
@@ -256,21 +303,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     involved = shared.select(F.col("rep").alias("doc_id")).union(shared.select(F.col("first").alias("doc_id"))).distinct()
     sets = kept(base.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
     links = kept(confirm(pairs, sets, percent), "links")
-    comp = kept(components(links), "components")
+    comp = components(links)
     # Keys with classes in several components
     rows = shared.select("key", "rep").union(shared.select("key", F.col("first").alias("rep")).distinct())
-    rows = rows.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    rows = kept(rows, "rows")
-    mixed_keys = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("n_blocks"))
-    spread = rows.join(mixed_keys, "key").join(classes.select("rep", "sig"), "rep").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("n_blocks")).cast("int"))
-    # side 2: pairs within the block; sides 0 and 1: of two blocks
-    one = F.transform(F.sequence(F.lit(0), F.col("n_blocks") - 1), lambda o: F.struct(F.xxhash64("key", F.least("block", o), F.greatest("block", o)).alias("group"), F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).cast("int").alias("side")))
-    left_out = F.col("key").bitwiseAND(F.lit(_COORDINATE)).cast("int").alias("coordinate")
-    cells = spread.select("component", "rep", "sig", left_out, F.inline(one)).select("group", "component", "rep", "sig", "side", "coordinate")
+    rows = kept(rows.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")), "rows")
+    cells = _cells(rows, classes, percent)
     more = cells.repartition("group").sortWithinPartitions("group").mapInArrow(lambda batches: _across(batches, percent, chunks), "a long, b long")
     late = kept(confirm(more.join(pairs, ["a", "b"], "left_anti"), sets, percent), "late")
     if late.limit(1).count():
-        comp = kept(components(links.union(late)), "components")
+        discard(comp)
+        comp = components(links.union(late))
+    discard(shared, pairs, sets, links, late, rows)
     own = told.select("doc_id", "n_shingles", "one", "two").join(classes.select("one", "two", "rep"), ["one", "two"], "left")
     own = own.withColumn("rep", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).otherwise(F.col("doc_id")))
     out = own.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

@@ -24,10 +24,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read again: its lineage ends there, and lost executors lose nothing of it."""
-    at = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """The frame written to the shared folder and read again: its lineage ends there, and lost executors lose nothing of it.
+
+    All tables of an application are in one folder named after it, so a job can remove what a finished one has left.
+    """
+    spark = df.sparkSession
+    at = f"{shared_folder(spark)}/docquarry-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
+    out = spark.read.schema(df.schema).parquet(at)
+    out.kept_at = at
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of ``kept`` that nothing will read again: what was made from them must be written by now."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t.kept_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def join_counted(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
