@@ -322,3 +322,32 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+  FROM w
+), k AS (
+  SELECT doc_id, len(s) AS n, CASE WHEN len(s) > 0 THEN md5(array_to_string(s, chr(10))) ELSE 'none ' || doc_id END AS k, s FROM s
+), c AS (
+  SELECT k, min(doc_id) AS rep, any_value(s) AS s, any_value(n) AS n FROM k GROUP BY k
+), x AS (
+  SELECT rep, n, unnest(s) AS g FROM c
+), e AS (
+  SELECT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), both_ways AS (
+  SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), r AS (
+  SELECT rep AS node, rep AS reach FROM c UNION SELECT r.node, both_ways.b FROM r JOIN both_ways ON r.reach = both_ways.a
+), m AS (
+  SELECT node, min(reach) AS component_id FROM r GROUP BY node
+)
+SELECT k.doc_id, k.n::BIGINT AS n_shingles, m.component_id, k.doc_id = m.component_id AS kept
+FROM k JOIN c ON k.k = c.k JOIN m ON m.node = c.rep
+"""

@@ -457,3 +457,35 @@ def op1_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     made = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
     return made.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), c AS (
+  SELECT doc_id, len(x) // 2 AS n, regexp_extract_all(x, '.{1,200}') AS c FROM d
+), b AS (
+  SELECT doc_id, n, unnest(c) AS one, unnest(list_append(c[2:], '')) AS next, unnest(range(len(c))) AS k FROM c
+), p AS (
+  SELECT doc_id, one || next AS x, k, unnest(range(greatest(0, least(100, n - 99 - 100 * k)))) AS j FROM b
+), s AS (
+  SELECT doc_id, 100 * k + j AS i, md5(substr(x, 2 * j + 1, 200)) AS h FROM p
+), r AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS k FROM s) WHERE k > 1
+), g AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS begins FROM r
+), t AS (
+  SELECT doc_id, i, sum(begins) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g
+), u AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM t GROUP BY doc_id, run
+), stay AS (
+  SELECT doc_id, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS a, a AS b FROM u
+  UNION ALL SELECT d.doc_id, coalesce(max(u.b), 0), any_value(len(d.x) // 2) FROM d LEFT JOIN u ON u.doc_id = d.doc_id GROUP BY d.doc_id
+), y AS (
+  SELECT stay.doc_id, string_agg(substr(d.x, 2 * stay.a + 1, 2 * (stay.b - stay.a)), '' ORDER BY stay.a) AS x
+  FROM stay JOIN d ON d.doc_id = stay.doc_id GROUP BY stay.doc_id
+)
+SELECT d.doc_id, (len(d.x) // 2)::BIGINT AS n_bytes, ((len(d.x) - len(y.x)) // 2)::BIGINT AS n_removed,
+  (SELECT count(*) FROM u WHERE u.doc_id = d.doc_id)::BIGINT AS n_spans, sha256(unhex(y.x)) AS kept_sha256
+FROM d JOIN y ON y.doc_id = d.doc_id
+"""
