@@ -1,22 +1,29 @@
 """Removal of repeated byte strings with a run-length suffix index.
 
 Every LENGTH-byte string holds a least GRAM-byte gram (by hash); the strings that follow each other with one least
-gram make a piece. Equal strings have equal least grams, so pieces with different grams share no string, and pieces
-meet by gram only. Pieces that are equal as a whole are one class, of which the first stays; a gram with one class is
-done, unless it stands in that piece several times. The others' bytes meet by gram, in blocks of bounded size, where an index decides:
-
-* a suffix array of the block's pieces gives the Burrows-Wheeler transform, kept as its runs, with the suffix
-  positions sampled at both ends of each run;
+gram make a piece. Equal strings have equal least grams, so pieces with different grams share no string, and the bytes
+of pieces that share a gram meet, in blocks of bounded size. Hashes only tell which bytes meet; that bytes are equal is
+decided by the bytes:
+
+* pieces of a batch of documents that are equal byte by byte go on as one, the first, and the others are repeats;
+* a gram that one piece alone has, once, is done. For the others, a block's pieces that are equal byte by byte are one
+  in its index; a suffix array of the different ones gives the Burrows-Wheeler transform, kept as its runs, with the
+  suffix positions sampled at both ends of each run;
 * matching statistics are streamed over the text from these samples alone: between samples, the match's place moves
   along by one and its length falls by one;
-* where the match is LENGTH or longer, it links the string to an equal one; the first of each linked chain stays.
+* where the match is LENGTH or longer, it links the string to an equal one; the first of each linked chain stays. What
+  the index says of a piece holds for each place of it.
 
-A gram with more pieces than a block holds is split over blocks, and the strings that stay in each of these meet
-once more by their hashes. What is removed is every byte of a string that is not the first of its equals.
+A gram of more pieces than a block holds is split over blocks. The strings that stay in these meet again in the index
+of a next level, by the least gram of another hash beside the first: copies are a block's first ones alone by then, and
+strings that differ part ways. Levels follow until no gram is split. What is removed is every byte of a string that is
+not the first of its equals.
 
 Edge cases: null and empty texts and texts shorter than LENGTH keep all bytes; a row with a null doc_id has no place
 in the order, takes no part and keeps all bytes; rows that repeat a doc_id with the same text are one document and
-share its result; an empty table gives an empty table; other columns, whatever their names, are left out.
+share its result; those that repeat one with another text share the places of the id, so what is removed of either is
+removed of both, at the same bytes; very long texts are taken whole; ties are settled by doc_id and start; an empty
+table gives an empty table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -33,9 +40,9 @@ from .textbytes import MIX, blocks, list_column, mixed, texts_of, words8
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text at a time; most strings in a piece; most pieces of a gram in a block; bytes of pieces in a block.
-BLOCK_BYTES, LONGEST, MOST_PIECES, INDEX_BYTES = 1 << 18, 512, 4096, 1 << 20
+BLOCK_BYTES, LONGEST, MOST_PIECES, INDEX_BYTES = 1 << 18, 512, 1024, 1 << 20
+MOST_LEVELS = 60
 _U = np.uint64
-PIECE = "gram long, content long, doc_id long, start int, count int, folds int"
 
 
 def string_hashes(eight: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -68,15 +75,9 @@ def string_hashes(eight: np.ndarray, start: np.ndarray, end: np.ndarray, seed: i
     return out
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of each piece: gram, hash of its bytes, text, first string's place in the data, number of strings, and 1 if the
-    gram stands in it several times, as then it may repeat itself."""
-    n = len(data)
-    none = (np.zeros(0, np.int64),) * 6
-    if n < LENGTH:
-        return none
-    eight = words8(data)
-    h = np.zeros(n - GRAM + 1, np.uint64)
+def least_grams(eight: np.ndarray, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """From the eight bytes at each position: the hash of the gram there, and the least in the string from there on."""
+    h = np.full(max(0, len(eight) - GRAM + 1), seed, np.uint64)
     for k in range(0, GRAM, 8):
         h = (h ^ eight[k : k + len(h)]) * MIX[k // 8 % 4]
         h ^= h >> _U(31)
@@ -86,6 +87,30 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         step = min(have, width - have)
         h = np.minimum(h[:-step], h[step:])
         have += step
+    return every, h
+
+
+def same_bytes(data: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the bytes from one and from two on are equal, size of them for each pair."""
+    out = np.zeros(len(one), bool)
+    for at in range(0, len(one), 8192):
+        s = slice(at, at + 8192)
+        begin = np.cumsum(size[s]) - size[s]
+        k = np.arange(int(size[s].sum())) - np.repeat(begin, size[s])
+        out[s] = np.logical_and.reduceat(data[np.repeat(one[s], size[s]) + k] == data[np.repeat(two[s], size[s]) + k], begin)
+    return out
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each piece: gram, hash of its bytes, text, first string's place in the data, number of strings, and 1 if the
+    gram stands in it several times, as then it may repeat itself."""
+    n = len(data)
+    none = (np.zeros(0, np.int64),) * 6
+    if n < LENGTH:
+        return none
+    eight = words8(data)
+    every, h = least_grams(eight)
+    width = LENGTH - GRAM + 1
     fits = np.zeros(n + 1, np.int8)
     size = np.diff(offsets)
     ok = size >= LENGTH
@@ -114,7 +139,7 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of whole texts. Equal pieces of a batch are one row here; the later ones become marks (count below 0)."""
+    """Pieces of whole texts. Pieces of a batch with equal bytes are one row, the first; the later ones are marks (count below 0)."""
     for batch in batches:
         ids = batch.column(0).to_numpy()
         data, offsets = texts_of(batch.column(1))
@@ -123,94 +148,55 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = offsets[i]
             gram, content, doc, start, count, folds = pieces(data[at : offsets[j]], offsets[i : j + 1] - at)
             found.append((gram, content, doc + i, start + at, count, folds))
-        gram, content, doc, start, count, folds = map(np.concatenate, zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 6
-        start = start - offsets[doc]
-        doc = ids[doc] if len(doc) else doc
+        gram, content, row, at, count, folds = map(np.concatenate, zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 6
+        start = at - offsets[row]
+        doc = ids[row] if len(row) else row
         order = np.lexsort((start, doc, content, gram))
-        gram, content, doc, start, count, folds = (x[order] for x in (gram, content, doc, start, count, folds))
+        gram, content, doc, start, at, count, folds = (x[order] for x in (gram, content, doc, start, at, count, folds))
         again = np.zeros(len(gram), bool)
-        again[1:] = (gram[1:] == gram[:-1]) & (content[1:] == content[:-1])
-        # a later place of a text that is given twice is no repeat of itself
-        head = np.flatnonzero(~again)
-        of = np.cumsum(~again) - 1
-        self_ = again & (doc == doc[head][of]) & (start == start[head][of]) if len(gram) else again
-        go = ~self_
-        key = np.where(again, mixed(doc.astype(np.uint64) * MIX[0]).view(np.int64), gram)
-        yield pa.RecordBatch.from_arrays([pa.array(key[go]), pa.array(content[go]), pa.array(doc[go]), pa.array(start[go].astype(np.int32)), pa.array(np.where(again, -count, count)[go].astype(np.int32)), pa.array(folds[go].astype(np.int32))], ["gram", "content", "doc_id", "start", "count", "folds"])
+        again[1:] = (gram[1:] == gram[:-1]) & (content[1:] == content[:-1]) & (count[1:] == count[:-1])
+        first = np.flatnonzero(~again)[np.cumsum(~again) - 1] if len(gram) else np.zeros(0, np.int64)
+        later = np.flatnonzero(again)
+        again[later] = same_bytes(data, at[later], at[first[later]], count[later] + LENGTH - 1)
+        go = ~again | (doc != doc[first]) | (start != start[first])  # a text that is given twice is no repeat of itself
+        yield pa.RecordBatch.from_arrays([pa.array(gram[go]), pa.array(doc[go]), pa.array(start[go].astype(np.int32)), pa.array(np.where(again, -count, count)[go].astype(np.int32)), pa.array(folds[go].astype(np.int32))], ["gram", "doc_id", "start", "count", "folds"])
 
 
-def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in order of gram, content, place: marks (count below 0), and requests for the bytes of grams' different pieces.
+def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows in order of gram: the marks, and the pieces whose bytes must meet: of grams of several, or that fold.
 
     salt numbers the blocks of a gram's pieces; hot tells that there are several. At most a batch and a block's
     pieces of one gram are held.
     """
-    names = ["doc_id", "start", "count", "gram", "salt", "hot"]
-    held: list[np.ndarray] = [np.zeros((0, 6), np.int64)]
-    gram0 = content0 = doc0 = start0 = None
-    number = 0  # of the pieces of the gram that is open, beyond those held
-
-    def rows(t: np.ndarray, base: int, hot: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(t[:, 2]), pa.array(t[:, 3].astype(np.int32)), pa.array(t[:, 4].astype(np.int32)), pa.array(t[:, 0]), pa.array((base // MOST_PIECES).astype(np.int32)), pa.array(hot)], names)
+    def rows(t: np.ndarray, salt: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+        kinds = (np.int64, np.int32, np.int32, np.int64)
+        return pa.RecordBatch.from_arrays([*(pa.array(t[:, k].astype(d)) for k, d in zip((1, 2, 3, 0), kinds, strict=True)), pa.array(salt.astype(np.int32)), pa.array(hot)], ["doc_id", "start", "count", "gram", "salt", "hot"])
 
+    held, gram0, number = np.zeros((0, 5), np.int64), None, 0  # number: pieces of the open gram that went out
     for batch in batches:
-        t = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(6)], axis=1)
-        done = t[t[:, 4] < 0]
-        if len(done):
-            yield rows(done, np.zeros(len(done), np.int64), np.zeros(len(done), bool))
-        t = t[t[:, 4] > 0]
-        if not len(t):
-            continue
-        prior = np.empty_like(t[:, :4])
-        prior[1:] = t[:-1, :4]
-        prior[0] = (t[0, 0] ^ 1, 0, 0, 0) if gram0 is None else (gram0, content0, 0, 0)
-        same = (t[:, 0] == prior[:, 0]) & (t[:, 1] == prior[:, 1])
-        # the class's first place, to leave out the same place given twice
-        head = np.flatnonzero(~same)
-        of = np.cumsum(~same)
-        firsts = np.concatenate([[[doc0 or 0, start0 or 0]], t[head][:, 2:4]])
-        later = same & ((t[:, 2] != firsts[of, 0]) | (t[:, 3] != firsts[of, 1]))
-        marks = t[later].copy()
-        marks[:, 4] *= -1
+        t = np.stack([batch.column(k).to_numpy().astype(np.int64) for k in range(5)], axis=1)
+        marks = t[t[:, 3] < 0]
         if len(marks):
-            yield rows(marks, np.zeros(len(marks), np.int64), np.zeros(len(marks), bool))
-        gram_before = gram0
-        gram0, content0 = t[-1, 0], t[-1, 1]
-        doc0, start0 = firsts[of[-1]]
-        new = t[~same]
-        every = np.concatenate([*held, new])
+            yield rows(marks, np.zeros(len(marks)), np.zeros(len(marks), bool))
+        every = np.concatenate([held, t[t[:, 3] > 0]])
         if not len(every):
-            held = [every]
             continue
         begin = np.flatnonzero(np.concatenate([[True], every[1:, 0] != every[:-1, 0]]))
-        size = np.diff(begin, append=len(every))
-        order = np.arange(len(every)) - np.repeat(begin, size)
-        open_ = every[:, 0] == gram0
-        cont = np.full(len(begin), 0)
-        if number and gram_before is not None and every[0, 0] == gram_before:
-            cont[0] = number
-        total = np.repeat(size + cont, size)
-        order = order + np.repeat(cont, size)
-        emit = ~open_ & ((total > 1) | (every[:, 5] > 0))
-        if open_.sum() > MOST_PIECES:
-            # hot: goes out at once, the gram stays open
-            emit |= open_
-            number = int(total[-1])
-            held = [every[:0]]
-        else:
-            if number and every[-1, 0] == gram_before and cont[-1]:
-                emit |= open_
-                number = int(total[-1])
-                held = [every[:0]]
-            else:
-                if not (number and gram_before == gram0):
-                    number = 0
-                held = [every[open_]]
-        if emit.any():
-            yield rows(every[emit], order[emit], (total > MOST_PIECES)[emit] | (np.repeat(cont, size)[emit] > 0))
-    last = np.concatenate(held)
-    if len(last) > 1 or len(last) and last[0, 5]:
-        yield rows(last, np.arange(len(last)), np.zeros(len(last), bool))
+        size, before = np.diff(begin, append=len(every)), np.zeros(len(begin), np.int64)
+        if number and every[0, 0] == gram0:
+            before[0] = number
+        total = np.repeat(size + before, size)
+        order = np.arange(len(every)) - np.repeat(begin - before, size)
+        out = np.ones(len(every), bool)
+        gram0, number, held = every[-1, 0], int(total[-1]), every[:0]
+        if number <= MOST_PIECES:
+            out = every[:, 0] != gram0
+            number, held = 0, every[~out]
+        out &= (total > 1) | (every[:, 4] > 0)
+        if out.any():
+            yield rows(every[out], (order // MOST_PIECES)[out], (total > MOST_PIECES)[out])
+    if len(held) > 1 or len(held) and held[0, 4]:
+        yield rows(held, np.zeros(len(held)), np.zeros(len(held), bool))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +238,7 @@ class RunIndex:
         text[inner] = raw.astype(np.int64) + len(ends)
         text[ends] = np.arange(len(ends))
         self.text, self.inner, self.n = text, inner, n
-        order = self.suffixes(text, int(size.max()) + 1)
+        order = self.suffixes(raw, inner, ends)
         bwt = text[order - 1]  # of the first suffix, the last sign
         head = np.ones(n, bool)
         head[1:] = bwt[1:] != bwt[:-1]
@@ -266,23 +252,41 @@ class RunIndex:
         self.at, self.before, self.length = np.insert(self.at, k, order[0]), np.insert(self.before, k, order[0]), np.insert(self.length, k, 0)
 
     @staticmethod
-    def suffixes(text: np.ndarray, longest: int) -> np.ndarray:
-        """By prefix doubling; suffixes differ within the longest piece."""
-        n = len(text)
-        rank, order = text, None
-        have = 1
-        while True:
-            pad = np.full(n, -1, np.int64)
-            pad[: n - have] = rank[have:] if have < n else pad[:0]
-            key = rank * (int(rank.max()) + 2) + pad + 1
-            order = np.argsort(key, kind="stable")
-            moved = key[order]
-            new = np.concatenate([[0], np.cumsum(moved[1:] != moved[:-1])])
-            rank = np.empty(n, np.int64)
-            rank[order] = new
-            have *= 2
-            if new[-1] == n - 1 or have > longest:
-                return order
+    def suffixes(raw: np.ndarray, inner: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """In order: by seven bytes first, then by prefix doubling, in which only suffixes that are still equal move.
+
+        An end of a piece comes before any byte, and before the ends of later pieces.
+        """
+        n = len(inner)
+        bytes_ = np.zeros(n, np.uint8)
+        bytes_[inner] = raw
+        room = np.minimum(np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(n), 7)  # bytes before the end
+        held = np.array([0] + [(1 << 64) - (1 << 64 - 8 * k) for k in range(1, 8)], np.uint64)
+        key = words8(bytes_).byteswap() & held[room] | room.astype(np.uint64)
+        order = np.argsort(key)
+        short = np.flatnonzero(room[order] < 7)  # they end in the key, and the places of equal ones are in order of pieces
+        order[short] = order[short][np.lexsort((order[short], key[order[short]]))]
+        moved = key[order]
+        new = np.ones(n, bool)
+        new[1:] = (moved[1:] != moved[:-1]) | (room[order[1:]] < 7)
+        head = np.flatnonzero(new)
+        count = np.diff(head, append=n)
+        rank = np.empty(n, np.int64)  # the first place of equals
+        rank[order] = np.repeat(head, count)
+        tied, have = np.flatnonzero(np.repeat(count > 1, count)), 7
+        while len(tied):
+            part = order[tied]
+            key = rank[part] * (n + 1) + rank[part + have]
+            by = np.argsort(key)
+            part, key = part[by], key[by]
+            order[tied] = part
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            head = np.flatnonzero(new)
+            count = np.diff(head, append=len(key))
+            rank[part] = np.repeat(tied[head], count)
+            tied, have = tied[np.repeat(count > 1, count)], have * 2
+        return order
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common prefix of suffixes, by comparison of the samples' signs; ends of pieces differ."""
@@ -327,81 +331,107 @@ def firsts(index: RunIndex, least: int = LENGTH) -> np.ndarray:
     return np.where(room >= least, best[to], -1)
 
 
-def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From pieces in order of gram, salt and place: the places of strings that are not the first of their equals.
+INDEXED = ["doc_id", "start", "count", "gram", "piece"]
 
-    Of split grams also the strings that are, with their hashes (one, two).
-    """
-    names = ["doc_id", "start", "count", "one", "two"]
-
-    def decide(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        t = t.combine_chunks()
-        order = np.lexsort((t.column("start").to_numpy(), t.column("doc_id").to_numpy()))
-        t = t.take(pa.array(order)).combine_chunks()
-        raw, offsets = texts_of(t.column("piece").combine_chunks() if t.num_rows else pa.array([], pa.binary()))
-        doc, start, hot = t.column("doc_id").to_numpy(), t.column("start").to_numpy().astype(np.int64), t.column("hot").to_numpy(zero_copy_only=False)
-        size = np.diff(offsets)
-        index = RunIndex(raw, size)
-        best = firsts(index)
-        begin = np.cumsum(size + 1) - (size + 1)
-        piece = np.repeat(np.arange(len(size)), size + 1)
-        place = np.arange(index.n)
-        where = start[piece] + place - begin[piece]
-        valid = best >= 0
-        origin = np.where(valid, best, 0)
-        itself = (doc[piece[origin]] == doc[piece]) & (where[origin] == where)
-        later = np.flatnonzero(valid & (best != place) & ~itself)
-        if len(later):
-            cut = np.ones(len(later), bool)
-            cut[1:] = (np.diff(later) != 1) | (piece[later][1:] != piece[later][:-1])
-            head = np.flatnonzero(cut)
-            n = np.diff(head, append=len(later))
-            k = later[head]
-            zero = np.zeros(len(k), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[piece[k]]), pa.array(where[k].astype(np.int32)), pa.array(-n.astype(np.int32)), pa.array(zero), pa.array(zero)], names)
-        stay = np.flatnonzero(valid & (best == place) & hot[piece])
-        if len(stay):
-            at = (offsets[:-1][piece[stay]] + stay - begin[piece[stay]]).astype(np.int64)
-            one, two = (string_hashes(words8(raw), at, at + LENGTH, seed).view(np.int64) for seed in (1, 2))
-            for a in range(0, len(stay), 100_000):
-                s = slice(a, a + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(doc[piece[stay[s]]]), pa.array(where[stay[s]].astype(np.int32)), pa.array(np.ones(len(stay[s]), np.int32)), pa.array(one[s]), pa.array(two[s])], names)
 
+def decide(t: pa.Table, over: int | None, level: int) -> Iterator[pa.RecordBatch]:
+    """From a block's pieces: the places of strings that are not the first of their equals (count below 0).
+
+    Of split grams (hot, or ``over``) also the pieces that stay, with their bytes and the gram of the next level.
+    """
+    t = t.combine_chunks()
+    t = t.take(pa.array(np.lexsort((t.column("start").to_numpy(), t.column("doc_id").to_numpy())))).combine_chunks()
+    raw, offsets = texts_of(t.column("piece").combine_chunks())
+    gram, doc, start = t.column("gram").to_numpy(), t.column("doc_id").to_numpy(), t.column("start").to_numpy().astype(np.int64)
+    hot = t.column("hot").to_numpy(zero_copy_only=False) | (gram == over if over is not None else False)
+    n, size, eight = len(doc), np.diff(offsets), words8(raw)
+    # pieces of equal bytes are one in the index: the first, as they are in order of places
+    h = string_hashes(eight, offsets[:-1], offsets[1:])
+    order = np.argsort(h, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = h[order][1:] != h[order][:-1]
+    rep = np.empty(n, np.int64)
+    rep[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    other = np.flatnonzero((rep != np.arange(n)) & (size == size[rep]))
+    rep[rep != np.arange(n)] = np.where(size == size[rep], rep, np.arange(n))[rep != np.arange(n)]
+    other = other[~same_bytes(raw, offsets[:-1][other], offsets[:-1][rep[other]], size[other])]
+    rep[other] = other
+    mine = rep == np.arange(n)
+    index = RunIndex(raw[np.repeat(mine, size)], size[mine])
+    best = firsts(index)
+    begin = np.cumsum(size[mine] + 1) - (size[mine] + 1)
+    place_of = np.repeat(start[mine] - begin, size[mine] + 1) + np.arange(index.n)
+    doc_of = np.repeat(doc[mine], size[mine] + 1)
+    # what the index says of a piece's strings holds for each place of it
+    count = size - LENGTH + 1
+    piece = np.repeat(np.arange(n), count)
+    k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    origin = best[begin[np.cumsum(mine) - 1][rep[piece]] + k]
+    where = start[piece] + k
+    later = np.flatnonzero((doc_of[origin] != doc[piece]) | (place_of[origin] != where))
+
+    def runs(at: np.ndarray, parts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        cut = np.ones(len(at), bool)
+        cut[1:] = (np.diff(at) != 1) | (piece[at][1:] != piece[at][:-1])
+        if parts is not None:
+            cut[1:] |= parts[1:] != parts[:-1]
+        head = np.flatnonzero(cut)
+        return at[head], np.diff(head, append=len(at))
+
+    if len(later):
+        s, c = runs(later)
+        yield pa.RecordBatch.from_arrays([pa.array(doc[piece[s]]), pa.array(where[s].astype(np.int32)), pa.array(-c.astype(np.int32)), pa.nulls(len(s), pa.int64()), pa.nulls(len(s), pa.binary())], INDEXED)
+    stay = np.ones(len(piece), bool)
+    stay[later] = False
+    stay = np.flatnonzero(stay & hot[piece] & mine[piece])
+    if len(stay):
+        at = offsets[:-1][piece[stay]] + k[stay]
+        key = mixed(gram[piece[stay]].view(np.uint64) * MIX[0] + least_grams(eight, level)[1][at])
+        s, c = runs(stay, key)
+        key = key[np.searchsorted(stay, s)].view(np.int64)
+        for a in range(0, len(s), 20_000):
+            one, z = s[a : a + 20_000], c[a : a + 20_000] + LENGTH - 1
+            first = np.cumsum(z) - z
+            text = raw[np.repeat(offsets[:-1][piece[one]] + k[one] - first, z) + np.arange(int(z.sum()))]
+            ends = np.concatenate([[0], np.cumsum(z)]).astype(np.int32)
+            bytes_ = pa.Array.from_buffers(pa.binary(), len(one), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(text.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(doc[piece[one]]), pa.array(where[one].astype(np.int32)), pa.array((z - LENGTH + 1).astype(np.int32)), pa.array(key[a : a + 20_000]), bytes_], INDEXED)
+
+
+def _index(batches: Iterator[pa.RecordBatch], level: int = 1) -> Iterator[pa.RecordBatch]:
+    """From pieces (gram, salt, hot, doc_id, start, piece) in order of gram and salt: what ``decide`` tells of their blocks.
+
+    A block ends with a gram and salt once it has INDEX_BYTES; a gram and salt of more than MOST_PIECES is split.
+    """
     rest: list[pa.Table] = []
-    held = 0
+    held, number, open_ = 0, 0, None
     for batch in batches:
         if not len(batch):
             continue
         gram, salt = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.flatnonzero((gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])) + 1
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (salt[1:] != salt[:-1])
+        new[0] = open_ != (gram[0], salt[0])
+        head = np.flatnonzero(new | (np.arange(len(gram)) == 0))
+        order = np.arange(len(gram)) - np.repeat(head, np.diff(head, append=len(gram)))
+        if not new[0]:
+            order[: head[1] if len(head) > 1 else len(gram)] += number
+        split = ~new & (order % MOST_PIECES == 0)
+        batch = batch.set_column(2, "hot", pa.array(batch.column(2).to_numpy(zero_copy_only=False) | (order >= MOST_PIECES)))
         size = np.concatenate([[0], np.cumsum(np.diff(texts_of(batch.column(5))[1]))])
         at = 0
-        open_ = rest and (rest[-1].column("gram")[-1].as_py(), rest[-1].column("salt")[-1].as_py()) == (gram[0], salt[0])
-        for cut in [*([] if open_ else [0]), *new.tolist()]:  # where a block may end
-            if held + size[cut] - size[at] >= INDEX_BYTES:
+        for cut in np.flatnonzero(new | split).tolist():  # where a block may end, or must
+            if split[cut] or held + size[cut] - size[at] >= INDEX_BYTES:
                 if cut > at:
                     rest.append(pa.Table.from_batches([batch.slice(at, cut - at)]))
-                yield from decide(pa.concat_tables(rest))
+                if rest:
+                    yield from decide(pa.concat_tables(rest), gram[cut] if split[cut] else None, level)
                 rest, held, at = [], 0, cut
-        if at < len(batch):
-            rest.append(pa.Table.from_batches([batch.slice(at)]))
-            held += int(size[-1] - size[at])
+        rest.append(pa.Table.from_batches([batch.slice(at)]))
+        held += int(size[-1] - size[at])
+        open_, number = (gram[-1], salt[-1]), int(order[-1]) + 1
     if rest:
-        yield from decide(pa.concat_tables(rest))
-
-
-def _again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From strings in order of hashes and place: those that are not the first."""
-    last = None
-    for batch in batches:
-        one, two, doc, start = (batch.column(k).to_numpy() for k in range(4))
-        if not len(one):
-            continue
-        same = np.zeros(len(one), bool)
-        same[1:] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-        same[0] = last == (one[0], two[0])
-        last = (one[-1], two[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(doc[same]), pa.array(start[same]), pa.array(np.full(int(same.sum()), -1, np.int32))], ["doc_id", "start", "count"])
+        yield from decide(pa.concat_tables(rest), None, level)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,20 +465,35 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.ListArray.from_arrays(pa.array(n), spans), kept_text], ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _levels(first: DataFrame) -> list[DataFrame]:
+    """The marks of all levels of the index."""
+    out, rows = [], first
+    kind = "doc_id long, start int, count int, gram long, piece binary"
+    for level in range(1, MOST_LEVELS):
+        met = rows.repartition("gram", "salt").sortWithinPartitions("gram", "salt")
+        told = kept(met.mapInArrow(lambda batches, level=level: _index(batches, level), kind), f"marks-{level}")
+        out.append(told.where("count < 0").select("doc_id", "start", "count"))
+        stays = told.where("count > 0")
+        if not stays.limit(1).count():
+            return out
+        rows = stays.select("gram", F.lit(0).alias("salt"), F.lit(False).alias("hot"), "doc_id", "start", "piece")
+    raise RuntimeError("the levels of the index did not end")
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, spans (start, end of the removed runs), kept (the bytes that stay)."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    found = base.where("doc_id is not null and text is not null").mapInArrow(_scan, PIECE)
-    by_gram = found.repartition("gram").sortWithinPartitions("gram", "content", "doc_id", "start")
-    told = kept(by_gram.mapInArrow(_classes, "doc_id long, start int, count int, gram long, salt int, hot boolean"), "pieces")
+    found = base.where("doc_id is not null and text is not null").mapInArrow(_scan, "gram long, doc_id long, start int, count int, folds int")
+    # marks go anywhere: only a batch's first pieces meet by gram
+    by_gram = found.repartition(F.when(F.col("count") > 0, F.col("gram")).otherwise(F.xxhash64("doc_id", "start"))).sortWithinPartitions("gram")
+    told = kept(by_gram.mapInArrow(_requests, "doc_id long, start int, count int, gram long, salt int, hot boolean"), "pieces")
     asked = told.where("count > 0").groupBy("doc_id").agg(F.collect_list(F.struct("start", "count", "gram", "salt", "hot")).alias("asked"))
-    bytes_of = base.join(asked.hint("shuffle_hash"), "doc_id").select("doc_id", "text", "asked").mapInArrow(_extract, "gram long, salt int, hot boolean, doc_id long, start int, piece binary")
-    blocks_ = bytes_of.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "doc_id", "start")
-    marks = kept(blocks_.mapInArrow(_index, "doc_id long, start int, count int, one long, two long"), "marks")
-    again = marks.where("count > 0").select("one", "two", "doc_id", "start").repartition("one").sortWithinPartitions("one", "two", "doc_id", "start").mapInArrow(_again, "doc_id long, start int, count int")
-    every = told.where("count < 0").select("doc_id", "start", "count").unionByName(marks.where("count < 0").select("doc_id", "start", "count")).unionByName(again)
+    bytes_of = base.join(asked.hint("merge"), "doc_id").select("doc_id", "text", "asked").mapInArrow(_extract, "gram long, salt int, hot boolean, doc_id long, start int, piece binary")
+    every = told.where("count < 0").select("doc_id", "start", "count")
+    for marks in _levels(bytes_of):
+        every = every.unionByName(marks)
     gone = every.groupBy("doc_id").agg(F.collect_list(F.struct("start", "count")).alias("gone"))
-    met = base.join(gone.hint("shuffle_hash"), "doc_id", "left")
+    met = base.join(gone.hint("merge"), "doc_id", "left")
     none = F.array().cast("array<struct<start: int, count: int>>")
     return met.select("doc_id", F.coalesce("text", F.lit(b"")).alias("text"), F.coalesce("gone", none).alias("gone")).mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
