@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import kept
+from .shared import MOST_HOT, kept
 from .textbytes import MIX, blocks, list_column, mixed, texts_of, words8
 
 LENGTH, GRAM = 100, 32
@@ -465,6 +465,16 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), pa.ListArray.from_arrays(pa.array(n), spans), kept_text], ["doc_id", "n_bytes", "spans", "kept"])
 
 
+def _dealt(stays: DataFrame) -> DataFrame:
+    """Pieces for the next level: those of hot grams in blocks, the others by gram alone."""
+    counted = stays.groupBy("gram").agg(F.count("*").alias("n"))
+    total = stays.count()
+    hot = counted.where(F.col("n") > max(MOST_PIECES, total // MOST_HOT))  # fewer than MOST_HOT
+    salt = F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.col("n") / MOST_PIECES)).cast("int")
+    met = stays.join(F.broadcast(hot), "gram", "left")
+    return met.select("gram", F.coalesce(salt, F.lit(0)).alias("salt"), F.col("n").isNotNull().alias("hot"), "doc_id", "start", "piece")
+
+
 def _levels(first: DataFrame) -> list[DataFrame]:
     """The marks of all levels of the index."""
     out, rows = [], first
@@ -476,7 +486,7 @@ def _levels(first: DataFrame) -> list[DataFrame]:
         stays = told.where("count > 0")
         if not stays.limit(1).count():
             return out
-        rows = stays.select("gram", F.lit(0).alias("salt"), F.lit(False).alias("hot"), "doc_id", "start", "piece")
+        rows = _dealt(stays)
     raise RuntimeError("the levels of the index did not end")
 
 

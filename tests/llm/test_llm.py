@@ -85,7 +85,8 @@ def test_run_index_and_split_grams(monkeypatch):
     while len(cut):
         levels += 1
         cut = cut.sort_values(["gram", "salt"])[["gram", "salt", "hot", "doc_id", "start", "piece"]]
-        out = pa.Table.from_batches(list(suffix_dedup._index(iter(pa.Table.from_pandas(cut, preserve_index=False).to_batches(max_chunksize=5)), levels))).to_pandas()
+        told = list(suffix_dedup._index(iter(pa.Table.from_pandas(cut, preserve_index=False).to_batches(max_chunksize=5)), levels))
+        out = pa.Table.from_batches(told, told[0].schema if told else pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("count", pa.int32())])).to_pandas()
         marks += out[out["count"] < 0][["doc_id", "start", "count"]].values.tolist()
         cut = out[out["count"] > 0].assign(salt=0, hot=False)
     assert levels > 2
