@@ -1,18 +1,25 @@
 """Ogg: pages with checksums, lacing, multiplexed logical streams and granule positions.
 
-``store_as_ogg`` keeps each text as a physical Ogg stream of two logical streams and reads it back.
+``store_as_ogg`` keeps each text as a physical Ogg stream of two logical streams and reads it back. ``read_ogg`` reads
+media from elsewhere: a stream that does not follow the format, or whose checksums are wrong, gives its error, and the
+other rows their packets.
 
-Edge cases: a null or empty text is one block of padding; a null doc_id is carried along; repeated rows give
-repeated rows; an empty table gives an empty table; other columns, whatever their names, are left out.
+A page's granule position is where the last packet that ends on it ends; the packets before it on the page end where
+the next one begins. So each packet has its times, once its page has ended.
+
+Edge cases: a null or empty text is one block of padding, and null media have no packets; a null doc_id is carried
+along; repeated rows give repeated rows; very long texts have as many pages as they need; an empty table gives an empty
+table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +50,16 @@ class Packet:
     data: bytes
     granule: int | None
     index: int
+    page: int = 0  # of its stream, where the packet ends
+
+
+@dataclass(frozen=True)
+class Timed:
+    """A packet and the samples of its stream at which it starts and ends."""
+
+    packet: Packet
+    start: int
+    end: int
 
 
 @dataclass
@@ -109,7 +126,7 @@ def read(data: bytes) -> Iterator[Packet]:
             size = sum(lacing[start : i + 1])
             s.parts.append(data[body : body + size])
             body, start = body + size, i + 1
-            yield Packet(serial, b"".join(s.parts), granule if i == ends[-1] else None, s.packets)
+            yield Packet(serial, b"".join(s.parts), granule if i == ends[-1] else None, s.packets, sequence)
             s.packets += 1
             s.parts = []
         if start < n:
@@ -121,6 +138,22 @@ def read(data: bytes) -> Iterator[Packet]:
             raise OggError(f"stream {serial} ends early")
 
 
+def timed(packets: Iterable[Packet], samples: Callable[[bytes], int] = len) -> Iterator[Timed]:
+    """Packets with their times, from the granule positions of the pages; samples tells a packet's length."""
+    waiting: dict[int, list[Packet]] = {}
+    for p in packets:
+        waiting.setdefault(p.serial, []).append(p)
+        if p.granule is not None and p.granule != NO_GRANULE:
+            mine = waiting.pop(p.serial)
+            ends = [p.granule]
+            for later in reversed(mine[1:]):
+                ends.append(ends[-1] - samples(later.data))
+            for q, end in zip(mine, reversed(ends), strict=True):
+                yield Timed(q, end - samples(q.data), end)
+    if waiting:
+        raise OggError(f"no granule position for the last packets of streams {sorted(waiting)}")
+
+
 def store(payload: bytes) -> bytes:
     """The payload's packets in turn to two logical streams; granule positions count samples (bytes) of the stream."""
     packets = [payload[i : i + PACKET] for i in range(0, len(payload), PACKET)]
@@ -136,20 +169,44 @@ def store(payload: bytes) -> bytes:
 
 
 def load(media: bytes) -> tuple[bytes, str]:
-    """The payload and features of its pages: streams, pages, packets, length in ms, mean sample, changes of sign."""
-    by: dict[int, list[bytes]] = {}
-    ends: dict[int, int] = {}
-    for p in read(media):
-        by.setdefault(p.serial, []).append(p.data)
-        if p.granule is not None:
-            ends[p.serial] = p.granule
-    if any(ends.get(s) != sum(map(len, x)) for s, x in by.items()):
-        raise OggError("granule positions do not match the samples")
+    """The payload, and features: streams, pages, packets, samples, length in ms, mean sample, how often the samples cross it."""
+    by: dict[int, list[Timed]] = {}
+    for t in timed(read(media)):
+        mine = by.setdefault(t.packet.serial, [])
+        if t.start != (mine[-1].end if mine else 0):
+            raise OggError("granule positions do not match the samples")
+        mine.append(t)
     order = sorted(by)
-    count = sum(map(len, by.values()))
-    payload = b"".join(by[order[i % len(order)]][i // len(order)] for i in range(count))
-    ms = sum(ends.values()) * 1000 // RATE
-    return payload, f"ogg;streams={len(by)};packets={count};samples={len(payload)};ms={ms};last={payload[-1]};sum={zlib.adler32(payload)}"
+    count, pages = sum(map(len, by.values())), sum(x[-1].packet.page + 1 for x in by.values())
+    payload = b"".join(by[order[i % len(order)]][i // len(order)].packet.data for i in range(count))
+    samples = np.frombuffer(payload, np.uint8)
+    total, n = int(samples.sum(dtype=np.int64)), len(samples)
+    above = samples.astype(np.int64) * n > total
+    crossings = int((above[1:] != above[:-1]).sum())
+    ms = max(x[-1].end for x in by.values()) * 1000 // RATE
+    return payload, f"ogg;streams={len(by)};pages={pages};packets={count};samples={n};ms={ms};mean={total * 1000 // n};crossings={crossings}"
+
+
+def _outside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = pa.list_(pa.struct([("serial", pa.int64()), ("index", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("data", pa.binary())]))
+    for batch in batches:
+        for at in range(0, len(batch), 64):
+            part = batch.slice(at, 64)
+            packets, errors = [], []
+            for media in part.column(1).to_pylist():
+                try:
+                    packets.append([{"serial": t.packet.serial, "index": t.packet.index, "start": t.start, "end": t.end, "data": t.packet.data} for t in timed(read(media or b""))])
+                    errors.append(None)
+                except OggError as e:
+                    packets.append(None)
+                    errors.append(str(e))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packets, kind), pa.array(errors, pa.string())], ["doc_id", "packets", "error"])
+
+
+def read_ogg(rows: DataFrame, media: str = "media", key: str = "doc_id") -> DataFrame:
+    """Per row: doc_id, packets (serial, index, start and end in samples, data; null for a bad stream), error (null for a good one)."""
+    kind = "doc_id long, packets array<struct<serial: long, index: long, start: long, end: long, data: binary>>, error string"
+    return rows.select(F.col(key).cast("long").alias("doc_id"), F.col(media).cast("binary").alias("media")).mapInArrow(_outside, kind)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,9 +2,12 @@
 
 import collections
 import hashlib
+import math
 import os
 import random
 import re
+import time
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -366,3 +369,325 @@ def test_pipeline(spark, tmp_path):
             assert collections.Counter(hashlib.md5(x["text"].encode()).digest() for x in after if x["text"].strip()).most_common(1)[0][1] == 1
     whole = corpus_pipeline.run(spark, SF)
     assert {tuple(x) for x in whole.collect()} == {tuple(x) for x in after}
+
+def test_line_dedup_of_hot_lines_and_repeated_ids(spark, monkeypatch):
+    """Hot fingerprints are broadcast; the same doc_id with other texts is another document."""
+    from docquarry.llm import shared
+
+    monkeypatch.setattr(shared, "HOT_ROWS", 3)
+    head = [line(55) for _ in range(2)]
+    texts = [(i, "\n".join([line(9), head[i % 2], line(7), f"x{i}"])) for i in range(20)] + [(3, head[0] + "\n" + line(60)), (None, head[0])]
+    made = line_dedup.remove_repeated_lines(spark.createDataFrame(texts + texts[:2], EMPTY))
+    got = collections.defaultdict(set)
+    for x in made.collect():
+        got[x["doc_id"]].add((x["n_removed"], x["text"]))
+    for i in range(20):
+        cut = next(t for n, t in got[i] if t.endswith(f"x{i}"))
+        assert (head[i % 2] in cut) == (i < 2), i
+    assert (1, texts[20][1].split("\n")[1]) in got[3] and (0, head[0]) in got[None]
+
+
+def test_line_dedup_goes_through_fingerprints(spark):
+    """Only selected lines go on, fewer than lines; each carries the lines of its windows, and matches end where lines differ."""
+    texts = [(i, "\n".join(line(10) for _ in range(60))) for i in range(5)]
+    shared = "\n".join(line(10) for _ in range(12))
+    texts += [(10, line(10) + "\n" + shared + "\n" + line(10)), (11, shared + "\n" + line(10)), (12, line(10) + "\n" + shared)]
+    docs = spark.createDataFrame(texts, EMPTY)
+    got = line_dedup.fingerprints(docs).collect()
+    assert len(got) < 0.75 * sum(len(t.split("\n")) for _, t in texts)
+    for x in got:
+        assert x["lines"][x["at"] - 1]["h"] == x["print"] and all(w["first"] <= x["at"] <= w["last"] for w in x["own"])
+        for w in x["own"]:
+            part = x["lines"][w["first"] - 1 : w["last"]]
+            assert min(y["h"] for y in part) == x["print"] and sum(y["n"] for y in part) >= line_dedup.WORDS > sum(y["n"] for y in part[1:])
+    runs = {x["doc_id"]: [tuple(y) for y in x["runs"]] for x in line_dedup.repeats(docs).collect()}
+    assert runs == {11: [(0, 11)], 12: [(1, 12)]}
+
+
+def test_near_dedup_of_hot_keys(spark, monkeypatch):
+    """Keys of more classes than a block: blocks by size, hot keys broadcast, against brute force."""
+    from docquarry.llm import shared
+
+    monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(shared, "HOT_ROWS", 3)
+    g = random.Random(8)
+    words = [f"w{i}" for i in range(150)]
+    texts = []
+    for k in range(40):  # prefixes of one text with a few words changed: many share keys, in several components
+        own = words[: g.choice([60, 62, 75, 95, 118, 148])]
+        for _ in range(g.randint(0, 3)):
+            own[g.randrange(len(own))] = f"x{k}"
+        texts.append((k, " ".join(own)))
+    got = by_id(near_dedup.near_duplicates(spark.createDataFrame(texts, EMPTY)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts)}
+    least = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                    least[a] = least[b] = min(least[a], least[b])
+    assert {i: x["component_id"] for i, x in got.items()} == least and len(set(least.values())) > 3
+
+
+def test_hashes_are_linear_in_nothing():
+    """Words that a polynomial over the bytes cannot tell apart, and spans of all lengths."""
+    from docquarry.llm.textbytes import span_hashes
+
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    sets = [near_dedup.shingle_sets(*near_dedup.texts_of(pa.array([x])))[0].tolist() for x in (word, word.translate(str.maketrans("ab", "ba")))]
+    assert sets[0] != sets[1]
+    data = np.frombuffer(bytes(r.randrange(256) for _ in range(1000)) * 2, np.uint8)
+    size = np.arange(1000)
+    one, two = (span_hashes(data, np.full(1000, at), at + size) for at in (0, 1000))
+    assert (one == two).all() and len(set(one.tolist())) == 1000
+    eight = suffix_dedup.words8(data)
+    size = np.arange(64, 900)
+    one, two = (suffix_dedup.string_hashes(eight, np.full(len(size), at), at + size) for at in (0, 1000))
+    assert (one == two).all() and len(set(one.tolist())) == len(size)
+
+
+def test_bpe_index():
+    """Any text as the library; time in proportion to a word's length; the index is what tells the merges."""
+    tokenizers = pytest.importorskip("tokenizers")
+    lib = tokenizers.Tokenizer.from_file(bpe.default_path())
+    own = bpe.PairIndexBpe(bpe.default_path())
+    g = random.Random(2)
+    signs = "abcdeéßİŉſΣ日本'’ \n\t\x0b\x1c\x85  <|>0159.,!-_" + "etaoin" * 3
+    texts = ["".join(g.choice(signs) for _ in range(g.randint(0, 60))) for _ in range(3000)]
+    texts += ["don't we'll I'M 'S ' s", "<|endoftext|>a<|startoftext|>", "a<|endoftext|", "x" * 3000, "ab" * 2000 + "ba" * 2000, "e" * 4999 + " " + "e" * 5000]
+    for x, (ids, decoded, n) in zip(texts, own.run(texts), strict=True):
+        want = lib.encode(x, add_special_tokens=False).ids
+        assert (ids, decoded, n) == (" ".join(map(str, want)), lib.decode(want, skip_special_tokens=False), len(want)), x
+    word = "".join(g.choice("abcdefgh") for _ in range(160_000))
+    times = []
+    for parts in (1, 4):
+        began = time.process_time()
+        own.known.clear()
+        for k in range(parts):
+            own.run([word[k * 160_000 // parts : (k + 1) * 160_000 // parts]])
+        times.append(time.process_time() - began)
+    assert times[0] < 5 * times[1] + 0.2
+    rank, index = own.occurrences([own.inner[b] for b in b"ababx"], [4])
+    (r_,) = {rank[0]}
+    assert index[r_] == [0, 2] and rank[4] == bpe.NONE
+
+
+def test_chat_flags(spark):
+    """The loss text is made of the segments whose flag is set, whatever stands in the formatted string."""
+    turns = [(1, 0, "system", "s<"), (1, 1, "user", "u"), (1, 2, "assistant", "</s>a\\"), (1, 3, "user", "v"), (1, 4, "assistant", ""), (1, 5, "tool", "t"), (None, 0, "user", "x"), (None, 0, "user", "y")]
+    made = chat_format.format_chat(spark.createDataFrame([(*t, "extra", 1.0) for t in turns], "conv_id long, turn long, role string, text string, segments string, rows double"))
+    rows = made.select("conv_id", "n_turns", "segments", chat_format.loss_text(F.col("segments")).alias("loss")).collect()
+    one = next(x for x in rows if x["conv_id"] == 1)
+    flags = [s["loss"] for s in one["segments"]]
+    assert flags == [False] * 1 + [False] * 6 + [False, True, False] + [False] * 3 + [False, True, False] + [False] * 3 and one["loss"] == "</s>a\\"
+    assert [x["n_turns"] for x in rows if x["conv_id"] is None] == [1, 1]
+    other = F.transform("segments", lambda s: F.struct(s["text"].alias("text"), (~s["loss"]).alias("loss")))
+    assert made.where("conv_id = 1").select(chat_format.loss_text(other)).first()[0] != one["loss"]
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat_format.format_chat(empty).count() == 0
+
+
+def brute_contaminated(item, text):
+    """The rule for texts without capitals: runs of equal templates on one alignment, slots one to one, share of the item's terms."""
+    kinds = lambda x: ["#" if w[0].isdigit() else w for w in x]
+    a, b = item.split(), text.split()
+    ka, kb = kinds(a), kinds(b)
+    z = len(a) if len(a) < decontaminate.SHORT else min(max(len(a) // 3, decontaminate.TEMPLATE), decontaminate.WINDOW)
+    if len(a) < decontaminate.TEMPLATE:
+        return any(b[x : x + len(a)] == a for x in range(len(b)))
+    best = 0.0
+    for shift in range(-len(a), len(b)):
+        hit, pairs = set(), set()
+        for y in range(len(a) - z + 1):
+            x = y + shift
+            if 0 <= x <= len(b) - z and ka[y : y + z] == kb[x : x + z] and (a[y : y + z] == b[x : x + z] or sum(w != "#" for w in ka[y : y + z]) >= decontaminate.LEAST_PLAIN):
+                slots = {(a[y + i], b[x + i]) for i in range(z) if ka[y + i] == "#"}
+                if len(slots) == len({v for v, _ in slots}) == len({v for _, v in slots}):
+                    hit |= set(range(y, y + z))
+                    pairs |= slots
+        if len(pairs) == len({v for v, _ in pairs}) == len({v for _, v in pairs}):
+            best = max(best, len(hit) / len(a))
+    return best >= decontaminate.COVER
+
+
+def test_decontamination_against_brute_force():
+    g = random.Random(12)
+    words = [f"word{chr(97 + k)}" for k in range(20)]
+    term = lambda: str(g.randint(10, 99)) if g.random() < 0.25 else g.choice(words)
+    items = [" ".join(term() for _ in range(g.choice([1, 3, 5, 7, 9, 12, 16, 24, 40]))) for _ in range(60)]
+    texts = []
+    for k in range(240):
+        own = g.choice(items).split()
+        if k % 3 == 1:  # new values, one to one or not
+            values = {w: str(g.randint(100, 120)) for w in own if w[0].isdigit()}
+            own = [values.get(w, w) for w in own]
+        if k % 3 == 2:  # a part alone
+            at = g.randrange(len(own))
+            own = own[:at] + [g.choice(words) for _ in range(g.randint(0, 12))]
+        texts.append(" ".join([g.choice(words) for _ in range(g.randint(0, 10))] + own + [g.choice(words) for _ in range(g.randint(0, 10))]))
+    got = contaminations(items, texts)
+    for i, text in enumerate(texts):
+        for j, item in enumerate(items):
+            assert (brute_contaminated(item, text) <= ((i, j) in got)) if len(item.split()) >= decontaminate.SHORT else brute_contaminated(item, text) == ((i, j) in got), (item, text)
+    extra = [(i, j) for i, j in got if not brute_contaminated(items[j], texts[i])]
+    assert len(extra) <= 0.05 * len(got)  # chains of several alignments, which the rule above has not
+
+
+def test_reparameterised_variants():
+    """Units that are joined or signs, words put in, short items, letters beyond ASCII, and tables of numbers."""
+    train = "The train leaves Paris at 10 and reaches Lyon after 120 km, how fast does Paris 10 go in total per hour then"
+    shop = "Tom pays 120 dollars for the new chair in the shop, how much is left of the money now"
+    texts = [train.replace("120 km", "99km"), shop.replace("120 dollars", "$99"), shop.replace("120 dollars", "€7"), shop.replace("new chair", "new wooden chair"), shop.replace("Tom", "Émile").replace("120", "7"), "so, What is LOVE today?", "what is love"]
+    assert contaminations([train, shop, "what is love today"], texts) == {(0, 0): True, (1, 1): True, (2, 1): True, (3, 1): False, (4, 1): True, (5, 2): False}
+    number = lambda n, seed: " ".join(str(random.Random(seed * 100_000 + i).randint(0, 999)) for i in range(n))
+    began = time.process_time()
+    assert contaminations([number(2000, 1)], [number(16_000, 2), "so " + number(2000, 1)]) == {(1, 0): False}
+    assert contaminations(["ha " * 2000], ["ha " * 16_000]) == {(0, 0): False}
+    assert time.process_time() - began < 10
+
+
+def test_decontamination_of_odd_rows(spark):
+    """Clashing columns, repeated rows, repeated items, ties between items."""
+    docs = spark.createDataFrame([(1, "we know that the capital of this land is a town", "a", 0.5, True)] * 2 + [(2, None, "b", 0.1, None)], "doc_id long, text string, item_id string, coverage double, reparameterised boolean")
+    bench = spark.createDataFrame([(1, "the capital of this land is a town", 1), (2, "The capital of this land is a town", 2), (2, "The capital of this land is a town", 3), (None, "the capital of this land", 1)], "item_id long, text string, doc_id long")
+    got = sorted((x["doc_id"], x["item_id"]) for x in decontaminate.contaminated(docs, bench).collect())
+    assert got == [(1, 1), (1, 1), (1, 2), (1, 2)]
+
+
+def test_long_words_sum_all_segmentations():
+    """Words beyond every former bound, against a sum with exact fractions."""
+    trie = language_id.Trie([b"\x01a", b"ab", b"b", b"abab", "é".encode(), "éa".encode()])
+    g = np.random.default_rng(1)
+    p = g.uniform(0.01, 0.2, (len(trie.pieces) + 1, 2))
+    p[-1] = language_id.ALONE
+    for word in ("ab" * 700, "éa" * 300 + "b", "z" * 900):
+        data = word.encode()
+        words, start, size, which, doc = language_id.words_of(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        assert size.tolist() == [len(data) + 1]
+        got = language_id.log_forward(language_id.lattice(trie, words, start, size), p, trie.depth)[0]
+        text = b"\x01" + data
+        for k in range(2):
+            total, chances = [Fraction(1)] + [Fraction(0)] * len(text), [Fraction(float(x)) for x in p[:, k]]
+            for i in range(len(text)):
+                total[i + 1] += total[i] * chances[-1]
+                for c, piece in zip(chances, trie.pieces, strict=False):
+                    if text.startswith(piece, i):
+                        total[i + len(piece)] += total[i] * c
+            want = math.log(total[-1].numerator) - math.log(total[-1].denominator)
+            assert got[k] == pytest.approx(want, rel=1e-9)
+    parts = language_id.words_of(np.frombuffer(("日本" * 40).encode(), np.uint8), np.array([0, 240]), 64)
+    assert all(bytes(parts[0][s + 1 : s + n]).decode() for s, n in zip(parts[1], parts[2], strict=True)) and (parts[2] <= 68).all()
+
+
+def test_language_fit_and_ties(spark):
+    """Expectation maximisation raises the likelihood; equal languages are a tie for the first name; very long texts."""
+    texts = ["der die das und nicht ein mann"] * 3 + ["the and of not a man"] * 3
+    model = [language_id.fit(texts, ["de"] * 3 + ["en"] * 3, language_id.default_path(), rounds) for rounds in (1, 2, 4)]
+    data = language_id.texts_of(pa.array(texts, pa.large_string()))
+    like = [sum(row[k] for row, k in zip(m.scores(*data), [0] * 3 + [1] * 3, strict=True)) for m in model]
+    assert like[0] < like[1] < like[2]
+    tie = language_id.fit(["same words"] * 2, ["b", "a"], language_id.default_path())
+    rows = spark.createDataFrame([(1, "same words here", "x"), (1, "same words here", "x"), (2, "das " * 50_000, "x"), (3, "é" * 30_000, "x")], "doc_id long, text string, lang_pred string")
+    assert {x["lang_pred"] for x in language_id.identify(rows, tie).collect()} == {"a"}
+    assert by_id(language_id.identify(rows, model[-1]))[2]["lang_pred"] == "de"
+
+
+def test_quality_gradient_and_attention():
+    """Gradients against finite differences; a task that only attention solves."""
+    g = np.random.default_rng(0)
+    doc = np.repeat(np.arange(30), g.integers(1, 9, 30))
+    x = g.normal(size=(len(doc), 5))
+    y = (g.random(30) < 0.5).astype(float)
+    net, weight = quality.start_from(x, 6, 4, 1), np.full(30, 1 / 30)
+    _, grad = quality.gradients(net, x, doc, y, weight)
+    for name, p in net.p.items():
+        for _ in range(4):
+            at = tuple(g.integers(0, n) for n in p.shape)
+            old, loss = p[at], []
+            for step in (1e-5, -1e-5):
+                p[at] = old + step
+                loss.append(quality.gradients(net, x, doc, y, weight)[0])
+            p[at] = old
+            assert grad[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=1e-6), name
+    # of 20 passages one is marked, and it alone tells the label; the others tell the contrary of chance
+    doc = np.repeat(np.arange(600), 20)
+    y = g.integers(0, 2, 600).astype(float)
+    x = g.normal(size=(len(doc), 3)) * [1, 0, 1]
+    key = np.arange(600) * 20 + g.integers(0, 20, 600)
+    x[key, 0], x[key, 1] = (2 * y - 1) * 0.5, 3
+    net = quality.train(quality.start_from(x[:8000], 8, 6, 1), x[:8000], doc[:8000], y[:400], 400, 0.02, 1e-4)
+    score, attention = net.scores(x[8000:], doc[8000:] - 400, 200)
+    assert ((score >= 0.5) == (y[400:] == 1)).mean() > 0.95 and attention[key[400:] - 8000].mean() > 0.5
+    mean = np.add.reduceat(x[8000:, 0], np.arange(0, 4000, 20)) / 20
+    assert ((mean > 0) == (y[400:] == 1)).mean() < 0.75
+    assert ((attention.reshape(200, 20).sum(1) - 1) ** 2).max() < 1e-6
+
+
+def test_quality_of_odd_texts(spark, docs):
+    model = quality.fit(["one two three. " * 9, "x#x $$ 1 " * 9] * 6, [1, 0] * 6)
+    rows = spark.createDataFrame([(1, "one two three. " * 20_000, 9.0), (1, "one two three. " * 20_000, 9.0), (2, "one two three. " * 9, 1.0), (None, None, 0.0)], "doc_id long, text string, score double")
+    got = quality.score_quality(rows, model).collect()
+    assert len(got) == 4 and {x["n_passages"] for x in got if x["doc_id"] == 1} == {1250} and all(x["score"] > 0.5 for x in got if x["doc_id"])
+    assert quality.score_quality(docs, model).count() == docs.count()
+
+
+def test_noisy_or():
+    """Document scores against a product over sentences; gradients against finite differences."""
+    g = np.random.default_rng(4)
+    z, doc = g.normal(size=12) * 3, np.sort(g.integers(0, 4, 12))
+    s = toxicity.Sentences(doc, doc, doc, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+    got = toxicity.NoisyOr(np.zeros(0, np.uint64), np.zeros(0), 0.0).documents(s, 4, z)
+    for d in range(4):
+        assert got[d] == pytest.approx(1 - np.prod([1 - 1 / (1 + math.exp(-v)) for v in z[doc == d]]))
+    sample = toxicity.Sample(g.integers(0, 6, 40), np.sort(g.integers(0, 15, 40)), np.sort(g.integers(0, 8, 15)), g.integers(0, 2, 8).astype(float), g.uniform(1, 3, 8))
+    x = g.normal(size=7)
+    _, grad = toxicity.gradient(x, sample)
+    for k in range(7):
+        step = np.eye(7)[k] * 1e-6
+        assert grad[k] == pytest.approx((toxicity.gradient(x + step, sample)[0] - toxicity.gradient(x - step, sample)[0]) / 2e-6, abs=1e-6)
+
+
+def test_toxicity_of_odd_texts(spark):
+    """Words of one document are fitted too; very long texts, repeated rows, clashing columns."""
+    model = toxicity.fit(["you moron", "a fine day", "once dolt here", "fine"] * 2 + ["rare nitwit"], [1, 0, 1, 0] * 2 + [1])
+    hashes = toxicity.sentences(*toxicity.texts_of(pa.array(["nitwit fine"]))).word
+    assert np.isin(hashes, model.words).all()
+    rows = spark.createDataFrame([(1, "a fine day. " * 20_000 + "you moron.", 0.0, "s"), (1, "fine", 0.0, "s"), (1, "fine", 0.0, "s"), (2, "!!!", None, None)], "doc_id long, text string, score double, sentences string")
+    got = toxicity.score_toxicity(rows, model).collect()
+    assert len(got) == 4 and max(x["score"] for x in got) >= 0.5
+    hit = next(x for x in got if x["score"] >= 0.5)["sentences"]
+    assert hit[-1]["start"] >= 12 * 20_000 - 2 and len({x["score"] for x in got if x["doc_id"] == 1}) == 2
+
+
+def test_ogg_times_and_bad_streams(spark):
+    """Each packet's times from granule positions; a bad stream is an error of its row."""
+    packets = [bytes([k]) * n for k, n in enumerate((10, 300, 70_000, 0, 5))]
+    ends = [10, 310, 70_310, 70_310, 70_315]
+    media = ogg_media.write({4: (packets, ends), 9: ([b"xy", b"z"], [2, 3])})
+    times = [(t.packet.serial, t.packet.index, t.start, t.end) for t in ogg_media.timed(ogg_media.read(media))]
+    assert sorted(times) == [(4, k, e - len(p), e) for k, (p, e) in enumerate(zip(packets, ends, strict=True))] + [(9, 0, 0, 2), (9, 1, 2, 3)]
+    rows = spark.createDataFrame([(1, bytearray(media)), (2, bytearray(media[:100] + b"!" + media[101:])), (3, None), (4, bytearray(media[:-3])), (None, bytearray(b"no stream"))], "doc_id long, media binary")
+    got = by_id(ogg_media.read_ogg(rows))
+    assert len(got[1]["packets"]) == 7 and got[1]["error"] is None and got[3]["packets"] == []
+    assert all(got[k]["packets"] is None and got[k]["error"] for k in (2, 4, None))
+    payload, feature = ogg_media.load(ogg_media.store(b"ab" * 96))
+    assert payload == b"ab" * 96 and feature == "ogg;streams=1;pages=1;packets=1;samples=192;ms=24;mean=97500;crossings=191"
+
+
+def test_stages_of_odd_rows(spark, tmp_path):
+    """Nulls in any column, empty and long texts, repeated rows, an extra column, an empty table; emptied documents go."""
+    passage = "\n".join(line(25) for _ in range(4))
+    rows = [(1, passage, "en", "s", 5), (2, passage, None, None, None), (3, line(30) + "\n" + passage, "en", "s", 1), (4, None, "en", "s", 0), (5, "", "en", "s", 0), (None, passage, "en", "s", 1), (6, line(20_000), "en", "s", 1), (7, " \n ", "en", "s", 1)]
+    docs = spark.createDataFrame([(*x, "extra") for x in rows + rows[:1]], "doc_id long, text string, lang string, source string, n_chars long, kept string")
+    spark.createDataFrame([(1, 1, 0), (4, 0, 0), (None, 1, 1), (6, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(1, rows[0][1].split("\n")[0]), (2, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        kept[name] = sorted((x["doc_id"] for x in out.collect()), key=str)
+        assert name == "encoding" or out.columns == list(corpus_pipeline.COLUMNS)
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+    assert kept["lines"] == [1, 1, 3, 4, 5, 6, 7, None] and kept["near"] == [1, 1, 3, 4, 5, 6, 7, None] and kept["decontamination"] == [4, 5, 6, 7, None]  # a row without an id is in no decision
+    assert len(kept["encoding"]) == 9 and set(kept["quality"]) >= {None}
