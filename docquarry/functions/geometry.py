@@ -11,6 +11,7 @@ import re
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -353,8 +354,36 @@ def _each(f, kind: str):
     return F.pandas_udf(run, kind)
 
 
+_POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("lon", "<f8"), ("lat", "<f8")])
+
+
+def _points(s: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which values are little-endian points, and their longitudes and latitudes."""
+    held = np.fromiter((x is not None and len(x) == 21 and x[:5] == b"\1\1\0\0\0" for x in s), bool, len(s))
+    read = np.frombuffer(b"".join(s[held]), _POINT)
+    return held, read["lon"], read["lat"]
+
+
+def _split(points, others, kind: str):
+    """A column function: ``points`` takes all points of a batch as arrays, ``others`` each other geometry."""
+    def run(s: pd.Series) -> pd.Series:
+        out = np.empty(len(s), object)
+        held, lon, lat = _points(s)
+        if held.any():
+            out[held] = points(lon, lat)
+        for i in np.flatnonzero(~held).tolist():
+            try:
+                out[i] = None if s.iloc[i] is None else others(from_wkb(bytes(s.iloc[i])))
+            except (ValueError, KeyError, TypeError, IndexError, struct.error):
+                out[i] = None
+        return pd.Series(out, dtype=object)
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, kind)
+
+
 def as_wkt(c: Column) -> Column:
-    return _each(lambda x: to_wkt(from_wkb(bytes(x))), "string")(c)
+    return _split(lambda x, y: [f"POINT ({_show(a)} {_show(b)})" for a, b in zip(x.tolist(), y.tolist(), strict=True)], to_wkt, "string")(c)
 
 
 def as_geojson(c: Column) -> Column:
@@ -367,14 +396,77 @@ def decode_geo(json_text: Column, kind: str) -> Column:
     return _each(lambda x: to_wkb(f(json.loads(x))), "binary")(json_text)
 
 
+def decode_point(lon: Column, lat: Column, json_text: Column) -> Column:
+    """WKB of points from their numbers, a batch at a time; where these are null, of the JSON value."""
+    def run(x: pd.Series, y: pd.Series, other: pd.Series) -> pd.Series:
+        out, made = np.empty(len(x), object), np.zeros(len(x), _POINT)
+        held = (x.notna() & y.notna()).to_numpy()
+        made["order"], made["kind"], made["lon"], made["lat"] = 1, 1, x.to_numpy(float, na_value=0), y.to_numpy(float, na_value=0)
+        raw = made.tobytes()
+        for i in np.flatnonzero(held).tolist():
+            out[i] = raw[21 * i : 21 * i + 21]
+        for i in np.flatnonzero(~held & other.notna().to_numpy()).tolist():
+            try:
+                out[i] = to_wkb(point_value(json.loads(other.iloc[i])))
+            except (ValueError, KeyError, TypeError, IndexError):
+                out[i] = None
+        return pd.Series(out, dtype=object)
+
+    run.__annotations__ = {"x": pd.Series, "y": pd.Series, "other": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "binary")(lon, lat, json_text)
+
+
+def box_of(g: dict) -> tuple[float, float, float, float]:
+    """xmin, ymin, xmax, ymax of a geometry."""
+    at = [p for kind, c in parts(g) for p in ([c] if kind == "Point" else c if kind == "LineString" else [q for ring in c for q in ring])]
+    x, y = zip(*at, strict=True) if at else ((math.inf, -math.inf), (math.inf, -math.inf))
+    return min(x), min(y), max(x), max(y)
+
+
+def located(x: np.ndarray, y: np.ndarray, rings) -> np.ndarray:
+    """``locate`` for arrays of points."""
+    inside, edge = np.zeros(len(x), bool), np.zeros(len(x), bool)
+    for ring in rings:
+        for a, b in _segments(ring):
+            turn = (b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0])
+            edge |= (turn == 0) & (min(a[0], b[0]) <= x) & (x <= max(a[0], b[0])) & (min(a[1], b[1]) <= y) & (y <= max(a[1], b[1]))
+            if a[1] != b[1]:
+                inside ^= ((a[1] > y) != (b[1] > y)) & (x < (b[0] - a[0]) * (y - a[1]) / (b[1] - a[1]) + a[0])
+    return np.where(edge, 0, np.where(inside, 1, -1))
+
+
 def relation(c: Column, name: str, shape: dict) -> Column:
     """intersects, disjoint, within (column in shape) or contains (shape in column)."""
-    test = {"intersects": lambda g: intersects(g, shape), "disjoint": lambda g: not intersects(g, shape), "within": lambda g: within(g, shape), "contains": lambda g: within(shape, g)}[name]
-    return _each(lambda x: test(from_wkb(bytes(x))), "boolean")(c)
+    own = list(parts(shape))
+    areas = [x for kind, x in own if kind == "Polygon"]
+    low_x, low_y, high_x, high_y = box_of(shape)
+    exact = {"intersects": lambda g: intersects(g, shape), "disjoint": lambda g: not intersects(g, shape), "within": lambda g: within(g, shape), "contains": lambda g: within(shape, g)}[name]
+
+    def others(g: dict) -> bool:
+        a, b, d, e = box_of(g)
+        if a > high_x or b > high_y or d < low_x or e < low_y:  # the boxes are apart
+            return name == "disjoint"
+        return exact(g)
+
+    def points(x: np.ndarray, y: np.ndarray) -> list[bool]:
+        if name == "contains" or len(areas) < len(own):
+            return [others(point(a, b)) for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+        least = 1 if name == "within" else 0
+        hit = np.zeros(len(x), bool)
+        for rings in areas:
+            hit |= located(x, y, rings) >= least
+        return (hit != (name == "disjoint")).tolist()
+
+    return _split(points, others, "boolean")(c)
 
 
 def metres(c: Column, lon: float, lat: float) -> Column:
-    return _each(lambda x: distance(from_wkb(bytes(x)), [lon, lat]), "double")(c)
+    def points(x: np.ndarray, y: np.ndarray) -> list[float]:
+        p, q = math.radians(lat), np.radians(y)
+        h = np.sin((q - p) / 2) ** 2 + math.cos(p) * np.cos(q) * np.sin(np.radians(x - lon) / 2) ** 2
+        return (2 * EARTH_M * np.arcsin(np.minimum(1.0, np.sqrt(h)))).tolist()
+
+    return _split(points, lambda g: distance(g, [lon, lat]), "double")(c)
 
 
 def haversine_column(lon: Column, lat: Column, to_lon: float, to_lat: float) -> Column:

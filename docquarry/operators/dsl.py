@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import calendar
 import json
 import re
 from collections.abc import Callable
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as geo
-from ..functions.analysis import analyze, phrase, tokens
+from ..functions.analysis import analyze, has_any, phrase, tokens
 from ..functions.mapping import Resolved
 
 
@@ -41,12 +42,61 @@ def _literal(value, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         if isinstance(value, (int, float)) and not isinstance(value, bool):
             return F.timestamp_millis(F.lit(int(value))).cast("timestamp_ntz")
-        return F.lit(value.isoformat() if isinstance(value, datetime) else str(value)).try_cast("timestamp_ntz")
+        return F.lit(moment(value)).cast("timestamp_ntz")
     if isinstance(kind, T.StringType):
         return F.lit(json.dumps(value) if isinstance(value, (bool, dict, list)) else str(value))
     return F.lit(value)
 
 
+#: Units of date arithmetic.
+_MOMENT = {"y": "years", "M": "months", "w": "weeks", "d": "days", "h": "hours", "H": "hours", "m": "minutes", "s": "seconds"}
+
+
+def _moved(at: datetime, n: int, unit: str) -> datetime:
+    name = _MOMENT[unit]
+    if name in ("years", "months"):
+        month = at.month - 1 + n * (12 if name == "years" else 1)
+        year, month = at.year + month // 12, month % 12 + 1
+        return at.replace(year=year, month=month, day=min(at.day, calendar.monthrange(year, month)[1]))
+    return at + timedelta(**{name: n})
+
+
+def _floor(at: datetime, unit: str) -> datetime:
+    name = _MOMENT[unit]
+    at = at.replace(microsecond=0)
+    if name == "weeks":
+        return (at - timedelta(days=at.weekday())).replace(hour=0, minute=0, second=0)
+    for field, least, units in (("second", 0, "yMdhHm"), ("minute", 0, "yMdhH"), ("hour", 0, "yMd"), ("day", 1, "yM"), ("month", 1, "y")):
+        if unit in units:
+            at = at.replace(**{field: least})
+    return at
+
+
+def moment(value, up: bool = False) -> str:
+    """A date, or date arithmetic (``now-1d/d``, ``2024-01-15||+1M/M``), in UTC as text; up: a rounded one is its unit's last millisecond."""
+    if isinstance(value, datetime):
+        return (value.astimezone(UTC).replace(tzinfo=None) if value.tzinfo else value).isoformat()
+    text = str(value).strip()
+    base, _, steps = ("now", "", text[3:]) if text.startswith("now") else text.partition("||")
+    try:
+        at = datetime.now(UTC) if base == "now" else datetime.fromisoformat(base + "-01" * {4: 2, 7: 1}.get(len(base), 0))
+        at = at.astimezone(UTC).replace(tzinfo=None) if at.tzinfo else at
+    except ValueError:
+        if re.fullmatch(r"-?[0-9]+", base):
+            at = datetime(1970, 1, 1) + timedelta(milliseconds=int(base))
+        else:
+            raise BadQuery(f"not a date: {value!r}") from None
+    if not re.fullmatch(r"(?:[+-][0-9]*[yMwdhHms]|/[yMwdhHms])*", steps):
+        raise BadQuery(f"not a date: {value!r}")
+    for sign, n, unit in re.findall(r"([+-/])([0-9]*)([yMwdhHms])", steps):
+        if sign == "/":
+            at = _floor(at, unit)
+            at = _moved(at, 1, unit) - timedelta(milliseconds=1) if up else at
+        else:
+            at = _moved(at, int(sign + (n or "1")), unit)
+    return at.isoformat()
+
+
 class Compiler:
     """Compiles clauses against a resolved schema; ``root`` holds other elements inside nested clauses."""
 
@@ -109,7 +159,8 @@ class Compiler:
 
         def test(c, t, kind):
             if kind == "text":
-                return F.array_contains(tokens(c), str(value).lower() if ci else str(value))
+                word = str(value).lower() if ci else str(value)
+                return has_any(c, [word]) if analyze(word) == [word] else F.lit(False)
             return F.lower(c) == str(value).lower() if ci else c == _literal(value, t)
 
         return self.field(field, test)
@@ -119,7 +170,7 @@ class Compiler:
         (field, values), = rest.items()
         if not values:
             return F.lit(False)
-        return self.field(field, lambda c, t, kind: F.arrays_overlap(tokens(c), F.array(*[F.lit(str(v)) for v in values])) if kind == "text" else c.isin(*[_literal(v, t) for v in values]))
+        return self.field(field, lambda c, t, kind: has_any(c, [str(v) for v in values if analyze(str(v)) == [str(v)]]) if kind == "text" else c.isin(*[_literal(v, t) for v in values]))
 
     def _range(self, body) -> Column:
         (field, limits), = body.items()
@@ -129,6 +180,8 @@ class Compiler:
             out = F.lit(True)
             for k, v in limits.items():
                 if k in ops and v is not None:
+                    if isinstance(t, T.TimestampNTZType) and isinstance(v, str):
+                        v = datetime.fromisoformat(moment(v, k in ("gt", "lte")))
                     out = out & getattr(c, ops[k])(_literal(v, t))
             return out
 
@@ -185,11 +238,11 @@ class Compiler:
                 return c == _literal(value, t)
             if not words:
                 return F.lit(False)
-            have = tokens(c)
             if every or least is not None:
-                need = len(set(words)) if every else _least(least, len(set(words)))
-                return F.size(F.array_intersect(have, F.array(*map(F.lit, words)))) >= need
-            return F.arrays_overlap(have, F.array(*map(F.lit, words)))
+                different = list(dict.fromkeys(words))
+                need = len(different) if every else _least(least, len(different))
+                return sum((has_any(c, [w]).cast("int") for w in different), F.lit(0)) >= need
+            return has_any(c, words)
 
         return self.field(field, test)
 

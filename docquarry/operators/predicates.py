@@ -6,7 +6,9 @@ prints the request a remote store would get.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from enum import Enum
@@ -45,6 +47,37 @@ class Predicate:
         raise NotImplementedError
 
 
+_STEP = re.compile(r"([^.\[\]]+)|\[(\d+)\]")
+
+
+def root(path: str) -> str:
+    """The column that a path begins with."""
+    return re.split(r"[.\[]", path, maxsplit=1)[0]
+
+
+def pushes(path: str) -> bool:
+    """Elements of lists and what the mapping does not name have no field in the store."""
+    return "[" not in path and root(path) != "_unmapped_"
+
+
+def value_at(path: str, like: Any = None) -> Column:
+    """The value of a path: struct fields, elements of lists counted from 1 (null beyond the end), and below
+    ``_unmapped_`` what the document holds, as a value of the kind of ``like`` (a variant for None)."""
+    if pushes(path):
+        return F.col(path)
+    steps = _STEP.findall(path)
+    if steps[0][0] == "_unmapped_":
+        if len(steps) == 1:
+            return F.col("_unmapped_")
+        place = "$" + "".join(f"[{int(i) - 1}]" if i else "['" + n.replace("\\", "\\\\").replace("'", "\\'") + "']" for n, i in steps[1:])
+        kind = "variant" if like is None else "boolean" if isinstance(like, bool) else "decimal(38,10)" if isinstance(like, int) else "double" if isinstance(like, float) else "timestamp_ntz" if isinstance(like, (date, datetime)) else "string"
+        return F.try_variant_get(F.col("_unmapped_"), place, kind)
+    out = F.col(f"`{steps[0][0]}`")
+    for name, i in steps[1:]:
+        out = F.try_element_at(out, F.lit(int(i))) if i else out[name]
+    return out
+
+
 def _json(value: Any) -> Any:
     if isinstance(value, datetime):
         return value.isoformat(timespec="microseconds" if value.microsecond else "seconds")
@@ -53,7 +86,7 @@ def _json(value: Any) -> Any:
 
 def _value_fate(r: Resolved, path: str) -> Fate:
     inexact = r.is_text(path) and path not in r.exact
-    return Fate.FILTER if inexact or r.is_geo(path) or path.startswith("_unmapped_") or "[" in path else Fate.PUSHED
+    return Fate.FILTER if inexact or r.is_geo(path) or not pushes(path) else Fate.PUSHED
 
 
 @dataclass(frozen=True)
@@ -73,7 +106,7 @@ class Compare(Predicate):
             value = geo.to_wkb(value)
         name = {"=": "__eq__", "!=": "__ne__", ">": "__gt__", ">=": "__ge__", "<": "__lt__", "<=": "__le__"}[self.op]
         lit = F.lit(value).cast("timestamp_ntz") if isinstance(value, (date, datetime)) or r.kinds.get(self.path) == "date" else F.lit(value)
-        return getattr(F.col(self.path), name)(lit)
+        return getattr(value_at(self.path, value), name)(lit)
 
     def fate(self, r: Resolved) -> Fate:
         self.check(r)
@@ -94,7 +127,8 @@ class In(Predicate):
     values: tuple
 
     def column(self, r: Resolved) -> Column:
-        return F.col(self.path).isin(*[geo.to_wkb(v) if r.is_geo(self.path) and isinstance(v, dict) else v for v in self.values])
+        known = [v for v in self.values if v is not None]
+        return value_at(self.path, known[0] if known else "").isin(*[geo.to_wkb(v) if r.is_geo(self.path) and isinstance(v, dict) else v for v in self.values])
 
     def fate(self, r: Resolved) -> Fate:
         return Fate.FILTER if any(v is None for v in self.values) else _value_fate(r, self.path)
@@ -111,10 +145,14 @@ class Null(Predicate):
     def column(self, r: Resolved) -> Column:
         if self.path == "_id":
             return F.lit(not self.isnull)
-        return F.col(self.path).isNull() if self.isnull else F.col(self.path).isNotNull()
+        value = value_at(self.path)
+        gone = value.isNull()
+        if root(self.path) == "_unmapped_" and self.path != "_unmapped_":
+            gone = gone | F.is_variant_null(value)
+        return gone if self.isnull else ~gone
 
     def fate(self, r: Resolved) -> Fate:
-        return Fate.FILTER if self.path.startswith("_unmapped_") or "[" in self.path else Fate.PUSHED
+        return Fate.PUSHED if pushes(self.path) else Fate.FILTER
 
     def clause(self, r: Resolved) -> dict:
         have = {"exists": {"field": self.path}}
@@ -146,7 +184,7 @@ class Like(Predicate):
         signs = self.signs()
         wild = [i for i, (_, special) in enumerate(signs) if special]
         plain = "".join(c for c, special in signs if not special)
-        c = F.col(self.path)
+        c = value_at(self.path, "")
         if not self.ignore_case and all(signs[i][0] == "%" for i in wild):
             n = len(signs) - 1
             shape = tuple(wild)
@@ -193,6 +231,16 @@ def contains(path: str, text: str) -> Like:
     return Like(path, "%" + _plain(text) + "%", escape="\\")
 
 
+def flipped(value: Any, op: str, path: str) -> Compare:
+    """value op path."""
+    return Compare(path, {"<": ">", "<=": ">=", ">": "<", ">=": "<="}.get(op, op), value)
+
+
+def plus(path: str, n: int, op: str, value: int) -> Compare:
+    """path + n op value for whole numbers, as a comparison of the path alone, which can be pushed."""
+    return Compare(path, op, value - n)
+
+
 def between(path: str, low: Any, high: Any) -> And:
     return And((Compare(path, ">=", low), Compare(path, "<=", high)))
 
@@ -238,6 +286,23 @@ class Or(Predicate):
         return {"bool": {"should": [p.clause(r) for p in self.parts], "minimum_should_match": 1}}
 
 
+@dataclass(frozen=True)
+class Expression(Predicate):
+    """Any SQL condition, of several columns, volatile or not; paths are those that it reads. Never pushed."""
+
+    sql: str
+    paths: tuple[str, ...] = ()
+
+    def column(self, r: Resolved) -> Column:
+        return F.expr(self.sql)
+
+    def fate(self, r: Resolved) -> Fate:
+        return Fate.FILTER
+
+    def clause(self, r: Resolved) -> dict:
+        raise ValueError("an expression has no clause")
+
+
 @dataclass(frozen=True)
 class Spatial(Predicate):
     """within: the field in the shape; contains: the shape in the field; intersects; disjoint."""
@@ -247,7 +312,7 @@ class Spatial(Predicate):
     shape: dict
 
     def column(self, r: Resolved) -> Column:
-        return geo.relation(F.col(self.path), self.relation, self.shape)
+        return geo.relation(value_at(self.path), self.relation, self.shape)
 
     def fate(self, r: Resolved) -> Fate:
         return Fate.PUSHED if r.is_geo(self.path) else Fate.FILTER
@@ -271,7 +336,7 @@ class Distance(Predicate):
     metres: float
 
     def column(self, r: Resolved) -> Column:
-        d = geo.metres(F.col(self.path), self.lon, self.lat)
+        d = geo.metres(value_at(self.path), self.lon, self.lat)
         return getattr(d, {"<": "__lt__", "<=": "__le__", ">": "__gt__", ">=": "__ge__", "=": "__eq__", "!=": "__ne__"}[self.op])(F.lit(float(self.metres)))
 
     def fate(self, r: Resolved) -> Fate:
@@ -282,6 +347,20 @@ class Distance(Predicate):
         return near if self.op in ("<", "<=") else {"bool": {"must_not": [near]}}
 
 
+def leaves(p: Predicate) -> list[Predicate]:
+    return [x for q in p.parts for x in leaves(q)] if isinstance(p, (And, Or)) else [p]
+
+
+def columns_of(predicates: Sequence[Predicate]) -> set[str]:
+    """The columns that predicates read."""
+    return {root(path) for p in predicates for x in leaves(p) for path in (x.paths if isinstance(x, Expression) else (x.path,))}
+
+
+def exact(p: Predicate, r: Resolved) -> bool:
+    """Whether the store's answer to a pushed predicate is SQL's: a negated clause also matches where the field is missing."""
+    return p.fate(r) is Fate.PUSHED and "must_not" not in json.dumps(p.clause(r))
+
+
 def split(predicates: list[Predicate], r: Resolved) -> tuple[list[Predicate], list[Predicate]]:
     """The pushed ones and the others; raises for those that are refused."""
     flat = And(tuple(predicates)).flat() if predicates else []

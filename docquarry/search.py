@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from .functions.mapping import Resolved
 from .operators.decode import decode
 from .operators.dsl import BadQuery
-from .operators.predicates import Predicate, explain_dsl, split
+from .operators.predicates import Predicate, columns_of, exact, explain_dsl, pushes, root, split, value_at
 from .settings import setting
-from .sources.index import CATALOG, Catalog, array_paths, clear_cache, read_index, resolve_schema
-from .sources.remote import Client, DocumentStore
+from .sources.index import CATALOG, Catalog, array_paths, cached, clear_cache, read_index, resolve_schema
+from .sources.remote import Client, DocumentStore, http_log
 
-__all__ = ["clear_cache", "explain", "search", "search_remote"]
+__all__ = ["clear_cache", "create_view", "explain", "http_log", "search", "search_remote"]
 
 
 def _query(query: dict | str | None) -> dict | None:
@@ -28,7 +28,17 @@ def _query(query: dict | str | None) -> dict | None:
     return query
 
 
-def search(spark: SparkSession, index: str | None = None, query: dict | str | None = None, where: Sequence[Predicate] = (), columns: Sequence[str] | None = None, limit: int | None = None, offset: int = 0, sample_size: int | None = None, catalog: Catalog = CATALOG) -> DataFrame:
+def search(
+    spark: SparkSession,
+    index: str | None = None,
+    query: dict | str | None = None,
+    where: Sequence[Predicate] = (),
+    columns: Sequence[str] | None = None,
+    limit: int | None = None,
+    offset: int = 0,
+    sample_size: int | None = None,
+    catalog: Catalog = CATALOG,
+) -> DataFrame:
     """Documents of an index or pattern: columns _id, the mapped fields, _unmapped_.
 
     ``query`` is one clause with the store's semantics, ``where`` are predicates with SQL's. Only the columns that are
@@ -42,21 +52,28 @@ def search(spark: SparkSession, index: str | None = None, query: dict | str | No
     every = ["_id", *(n for n, _ in r.columns), "_unmapped_"]
     wanted = list(columns) if columns is not None else every
     split(list(where), r)  # refuses what cannot be compared
-    needed = set(c.split(".")[0] for c in wanted) | {p.path.split(".")[0] for w in where for p in _leaves(w)}
+    needed = {root(c) for c in wanted} | columns_of(where)
     parts = [read_index(spark, i, r, [c for c in every if c in needed], query) for i in catalog.find(index)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     for w in where:
         out = out.where(w.column(r))
-    out = out.select(*[F.col(c) for c in wanted])
+    return _page(out, wanted, limit, offset)
+
+
+def _page(out: DataFrame, wanted: list[str], limit: int | None, offset: int) -> DataFrame:
+    out = out.select(*[F.col(c) if pushes(c) else value_at(c).alias(c) for c in wanted])
     if offset:
         out = out.offset(offset)
     return out if limit is None else out.limit(limit)
 
 
-def _leaves(p) -> list:
-    return [x for q in p.parts for x in _leaves(q)] if hasattr(p, "parts") else [p]
+def create_view(spark: SparkSession, name: str, index: str, *, host: str | None = None, **arguments) -> DataFrame:
+    """A temporary view for SQL over an index, or over a store if a host is given; arguments as for ``search`` or ``search_remote``."""
+    out = search(spark, index, **arguments) if host is None else search_remote(spark, index, host, **arguments)
+    out.createOrReplaceTempView(name)
+    return out
 
 
 def explain(spark: SparkSession, index: str, query: dict | str | None = None, where: Sequence[Predicate] = (), columns: Sequence[str] | None = None, catalog: Catalog = CATALOG) -> str:
@@ -66,8 +83,32 @@ def explain(spark: SparkSession, index: str, query: dict | str | None = None, wh
     return json.dumps(explain_dsl(r, list(where), _query(query), list(columns) if columns else None)) + "".join(f"\nFILTER {p}" for p in rest)
 
 
-def search_remote(spark: SparkSession, index: str, host: str = "localhost", port: int = 9200, query: dict | str | None = None, where: Sequence[Predicate] = (), columns: Sequence[str] | None = None, limit: int | None = None, offset: int = 0, username: str | None = None, password: str | None = None, use_ssl: bool = False, verify_ssl: bool | None = None, timeout: int | None = None, max_retries: int | None = None, retry_interval: int | None = None, retry_backoff_factor: float | None = None, sample_size: int | None = None, proxy: str | None = None, slices: int = 1) -> DataFrame:
-    """The same over a store that answers HTTP: pushed predicates and fields go into its request; all are evaluated here again."""
+def search_remote(
+    spark: SparkSession,
+    index: str,
+    host: str = "localhost",
+    port: int = 9200,
+    query: dict | str | None = None,
+    where: Sequence[Predicate] = (),
+    columns: Sequence[str] | None = None,
+    limit: int | None = None,
+    offset: int = 0,
+    username: str | None = None,
+    password: str | None = None,
+    use_ssl: bool = False,
+    verify_ssl: bool | None = None,
+    timeout: int | None = None,
+    max_retries: int | None = None,
+    retry_interval: int | None = None,
+    retry_backoff_factor: float | None = None,
+    sample_size: int | None = None,
+    proxy: str | None = None,
+    slices: int = 1,
+) -> DataFrame:
+    """The same over a store that answers HTTP: pushed predicates and fields go into its request, as ``explain`` tells; all are evaluated here again.
+
+    Mappings and samples are cached, so a warm search sends none of their requests.
+    """
     if not host:
         raise ValueError("search requires 'host' parameter")
     if not index:
@@ -76,30 +117,29 @@ def search_remote(spark: SparkSession, index: str, host: str = "localhost", port
     used = {k: setting(spark, k, v) for k, v in given.items()}
     client = Client(host, port, use_ssl, username=username, password=password, proxy=proxy, **used)
     query = _query(query)
-    r: Resolved = client.mapping(index)
     size = setting(spark, "sample_size", sample_size)
-    if size > 0:
-        hits = client.sample(index, size, query or {"match_all": {}})
-        if hits:
-            rows = spark.createDataFrame([(h["_id"], json.dumps(h.get("_source", {}))) for h in hits], "_id string, _source string")
-            r = r.with_arrays(array_paths(rows, r))
+    r = cached(("remote", client.base().geturl(), username, index, json.dumps(query, sort_keys=True), size), lambda: _remote_schema(spark, client, index, query, size))
     every = ["_id", *(n for n, _ in r.columns), "_unmapped_"]
     wanted = list(columns) if columns is not None else every
-    needed = set(c.split(".")[0] for c in wanted) | {p.path.split(".")[0] for w in where for p in _leaves(w)}
-    pushed, _ = split(list(where), r)
-    safe = [p for p in pushed if "must_not" not in json.dumps(p.clause(r))]
-    body = explain_dsl(r, safe, query, [c for c in every if c in needed])
+    needed = {root(c) for c in wanted} | columns_of(where)
+    body = explain_dsl(r, list(where), query, [c for c in every if c in needed])
     spark.dataSource.register(DocumentStore)
-    whole = limit is not None and len(safe) == sum(len(_leaves(w)) for w in where)
+    whole = limit is not None and all(exact(w, r) for w in where)  # else rows beyond the limit may be needed
     options = {"index": index, "host": host, "port": port, "use_ssl": use_ssl, "body": json.dumps(body), "slices": 1 if whole else slices, "scroll_time": setting(spark, "scroll_time"), "batch_size": setting(spark, "batch_size"), "batch_size_threshold_factor": setting(spark, "batch_size_threshold_factor")} | used
     options |= {k: v for k, v in {"username": username, "password": password, "proxy": proxy, "limit": limit + offset if whole else None}.items() if v is not None}
     rows = spark.read.format("docsearch").options(**{k: str(v) for k, v in options.items()}).load()
     out = decode(rows, r, [c for c in every if c in needed])
     for w in where:
         out = out.where(w.column(r))
-    out = out.select(*[F.col(c) for c in wanted])
-    if offset:
-        out = out.offset(offset)
-    return out if limit is None else out.limit(limit)
+    return _page(out, wanted, limit, offset)
 
 
+def _remote_schema(spark: SparkSession, client: Client, index: str, query: dict | None, size: int) -> Resolved:
+    r = client.mapping(index)
+    if size > 0:
+        hits = client.sample(index, size, query or {"match_all": {}})
+        if hits:
+            rows = spark.createDataFrame([(h["_id"], json.dumps(h.get("_source", {}))) for h in hits], "_id string, _source string")
+            r = r.with_arrays(array_paths(rows, r))
+    client.close()
+    return r

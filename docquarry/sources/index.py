@@ -8,7 +8,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,10 +61,21 @@ def clear_cache() -> bool:
 
 
 def bulk_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a bulk file: an action line with _id, then the document's line."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line")).where("trim(line) <> ''")
-    pairs = lines.select(F.floor(F.col("n") / 2).alias("k"), (F.col("n") % 2).alias("side"), "line").groupBy("k").agg(F.max(F.when(F.col("side") == 0, F.col("line"))).alias("action"), F.max(F.when(F.col("side") == 1, F.col("line"))).alias("_source"))
-    return pairs.select(F.get_json_object("action", "$.index._id").alias("_id"), "_source")
+    """Rows (_id, _source) of bulk files: of each document an action line with its _id, then its own line.
+
+    Lines are paired within their file, blank ones left out. Large files are read in ranges: the lines of each are
+    counted, so that each knows its place in the file, and no task meets a whole file.
+    """
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("k")]
+    lines = spark.read.text(path).select(F.col("value").alias("line"), *at).where("trim(line) <> ''")
+    counted = lines.groupBy("file", "range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    counted = counted.select("file", "range", F.coalesce(before, F.lit(0)).alias("before"))
+    here = F.row_number().over(Window.partitionBy("file", "range").orderBy("k")) - 1
+    placed = lines.withColumn("here", here).join(counted, ["file", "range"]).withColumn("place", F.col("before") + F.col("here"))
+    side = lambda n: F.max(F.when(F.col("place") % 2 == n, F.col("line")))
+    pairs = placed.groupBy("file", F.floor(F.col("place") / 2).alias("pair")).agg(side(0).alias("action"), side(1).alias("_source"))
+    return pairs.select(F.coalesce(F.get_json_object("action", "$.index._id"), F.get_json_object("action", "$.create._id")).alias("_id"), "_source")
 
 
 def array_paths(rows: DataFrame, r: Resolved) -> frozenset[str]:
@@ -88,14 +99,24 @@ def array_paths(rows: DataFrame, r: Resolved) -> frozenset[str]:
 def resolve_schema(spark: SparkSession, pattern: str, query: dict | str | None, sample_size: int, catalog: Catalog = CATALOG) -> Resolved:
     """Mappings merged, then arrays from a sample of the documents that the query matches; cached by all of these."""
     text = query if isinstance(query, str) or query is None else json.dumps(query, sort_keys=True)
-    key = (id(catalog), pattern, text, sample_size)
+    return cached((id(catalog), pattern, text, sample_size), lambda: _resolved(spark, catalog.find(pattern), query, sample_size))
+
+
+def cached(key: tuple, make: Callable[[], Resolved]) -> Resolved:
     with _lock:
         if key in _cache:
             return _cache[key]
-    indices = catalog.find(pattern)
+    made = make()
+    with _lock:
+        return _cache.setdefault(key, made)
+
+
+def _resolved(spark: SparkSession, indices: list[Index], query, sample_size: int) -> Resolved:
     COUNTS["mapping"] += 1
     each = {i.name: i.resolved() for i in indices}
     merged = merge(each)
+    # typed columns tell by themselves which are lists
+    typed = frozenset(f.name for i in indices if i.typed for f in i.load(spark).schema if isinstance(f.dataType, T.ArrayType))
     if sample_size > 0:
         COUNTS["sample"] += 1
         paths: frozenset[str] = frozenset()
@@ -105,10 +126,8 @@ def resolve_schema(spark: SparkSession, pattern: str, query: dict | str | None,
                 if query is not None:
                     rows = _matching(rows, each[i.name], query)
                 paths |= array_paths(rows.limit(sample_size), each[i.name])
-        merged = merged.with_arrays(paths)
-    with _lock:
-        _cache[key] = merged
-    return merged
+        typed |= paths
+    return merged.with_arrays(typed) if typed else merged
 
 
 def _matching(rows: DataFrame, r: Resolved, query) -> DataFrame:
@@ -125,6 +144,7 @@ def read_index(spark: SparkSession, index: Index, r: Resolved, columns: list[str
     if not index.typed:
         return decode(rows if query is None else _matching(rows, r, query), r, columns)
     if query is not None:
-        rows = rows.where(compile_query(query, index.resolved()))
+        own = index.resolved()
+        rows = rows.where(compile_query(query, own.with_arrays(frozenset(n for n, t in r.columns if isinstance(t, T.ArrayType) and n in own.kinds))))
     kinds = {"_id": T.StringType(), "_unmapped_": T.VariantType()} | dict(r.columns)
     return rows.select(*[F.col(c).cast(kinds[c]).alias(c) if c in rows.columns and not isinstance(kinds[c], T.VariantType) else F.col(c).alias(c) if c in rows.columns else F.lit(None).cast(kinds[c]).alias(c) for c in columns])

@@ -1,5 +1,6 @@
 """Search over a small index of typed, nested, geometric and unmapped fields."""
 
+import gzip
 import json
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -10,8 +11,9 @@ from docquarry import settings
 from docquarry.functions import geometry as geo
 from docquarry.functions.mapping import MappingConflict, merge, resolve
 from docquarry.operators import predicates as P
-from docquarry.search import explain, search, search_remote
+from docquarry.search import create_view, explain, http_log, search, search_remote
 from docquarry.sources import index as ix
+from docquarry.sources.remote import Client
 
 TEXT_KEYWORD = {"type": "text", "fields": {"keyword": {"type": "keyword"}}}
 MAPPING = {"properties": {
@@ -181,6 +183,7 @@ def test_remote(spark):
         assert opened == {"query": {"range": {"n": {"gt": 20}}}, "_source": ["n"]} and any(m == "DELETE" for m, _, _ in Store.seen)
         assert go(limit=3, columns=["_id"]).count() == 3 and any("size=3" in p for m, p, _ in Store.seen)
         Store.fail = 9
+        ix.clear_cache()  # a warm search asks for no mapping
         with pytest.raises(Exception, match=r"HTTP 503.*after 2 retries"):
             go(max_retries=2)
     finally:
@@ -188,3 +191,120 @@ def test_remote(spark):
         server.shutdown()
     with pytest.raises(Exception, match="request failed"):
         search_remote(spark, "docs", "127.0.0.1", 1, max_retries=0)
+
+
+def test_elements_and_unmapped_paths(ids):
+    """Predicates on list elements and on what the mapping does not name; beyond the end is null."""
+    assert ids(None, P.Compare("tags[1]", "=", "red")) == "15" and ids(None, P.Compare("tags[2]", ">=", "b")) == "1" and ids(None, P.Compare("tags[1]", "!=", "red")) == "2"
+    assert ids(None, P.In("tags[2]", ("7", "blue"))) == "15" and ids(None, P.Null("tags[9]")) == "12345" and ids(None, P.Like("tags[1]", "gr%")) == "2"
+    assert ids(None, P.Compare("people[1].mail", "=", "c@x")) == "2" and ids(None, P.Null("people[2].name", False)) == "1"
+    assert ids(None, P.Compare("_unmapped_.extra", "=", 10)) == "2" and ids(None, P.Compare("_unmapped_.extra.value", ">", 20)) == "3" and ids(None, P.Compare("_unmapped_.extra.value", ">", 20.3)) == ""
+    assert ids(None, P.Compare("_unmapped_.extra.note", "=", "hm")) == "3" and ids(None, P.Like("_unmapped_.extra.note", "h%")) == "3" and ids(None, P.In("_unmapped_.extra", (10, 11))) == "2"
+    assert ids(None, P.Null("_unmapped_.extra", False)) == "23" and ids(None, P.Null("_unmapped_")) == "15" and ids(None, P.Compare("_unmapped_.job.place.zip", "<=", 9)) == "4"
+    assert ids(None, P.Compare("tags[1]", "=", "red") | P.Compare("_unmapped_.extra", "=", 10)) == "125"
+
+
+def test_flipped_expressions_and_sums(ids):
+    r = resolve(MAPPING)
+    assert ids(None, P.flipped(42, "<", "n")) == "2" and P.flipped(1, "!=", "n") == P.Compare("n", "!=", 1)
+    assert ids(None, P.plus("n", 10, ">", 52)) == "2" and P.explain_dsl(r, [P.plus("n", 10, ">", 50)])["query"] == {"range": {"n": {"gt": 40}}}
+    assert ids(None, P.Expression("n > price AND random() >= 0", ("n", "price"))) == "1" and P.Expression("n > 1", ("n",)).fate(r).value == "FILTER"
+    assert ids(None, P.Expression("CASE WHEN old THEN n ELSE 0 END = 87", ("n", "old"))) == "2"
+
+
+@pytest.mark.parametrize(("limits", "want"), [
+    ({"gte": "1995-11-22||/d", "lt": "1995-11-22||+1d/d"}, "2"), ({"gt": "2005-03||-1M", "lte": "2005-03||/M"}, "1"), ({"lte": "1970-01-01||/y"}, "3"), ({"lte": "now-1d/d", "gt": "now-40y"}, "12"), ({"gte": "0"}, "123"),
+])
+def test_date_arithmetic(ids, limits, want):
+    assert ids({"range": {"born": limits}}) == want
+
+
+def test_dates_that_are_none_are_refused(ids):
+    from docquarry.operators.dsl import BadQuery, moment
+
+    for bad in ("soon", "now-1x", "2024-13-01", "now+"):
+        with pytest.raises(BadQuery, match="not a date"):
+            ids({"range": {"born": {"gte": bad}}})
+    assert moment("2024-02-29||+1y") == "2025-02-28T00:00:00" and moment("2024-05-15||/M", True) == "2024-05-31T23:59:59.999000" and moment("2024-05-15||/w") == "2024-05-13T00:00:00"
+
+
+def test_bulk_files(spark, tmp_path):
+    """Lines are paired within their file; blank lines and ranges of large files do not shift the pairs."""
+    for name, ids_, gap in (("a", range(4), "\n"), ("b", range(4, 8), ""), ("c", range(8, 3000), "")):
+        (tmp_path / f"{name}.jsonl").write_text("".join(f'{{"index": {{"_id": "{i}"}}}}\n{gap}{{"n": {i}}}\n' for i in ids_))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = {x["_id"]: x["_source"] for x in ix.bulk_lines(spark, str(tmp_path)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {str(i): f'{{"n": {i}}}' for i in range(3000)}
+
+
+def test_warm_search_sends_no_mapping_request(spark):
+    """Also: negated predicates are sent, and a limit with one is not; explain tells what is sent; the log; a view for SQL."""
+    server = HTTPServer(("127.0.0.1", 0), Store)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    ix.clear_cache()
+    Store.fail = 0
+    go = lambda **k: search_remote(spark, "docs", "127.0.0.1", server.server_port, username="me", password="secret", **k)
+    try:
+        go()
+        Store.seen.clear()
+        where = [P.Compare("n", "!=", 42)]
+        assert [r["_id"] for r in go(where=where, columns=["_id"], limit=1).collect()] == ["2"]
+        assert not any(m == "GET" or "/_search?size=" in p for m, p, _ in Store.seen)
+        sent = next(b for m, p, b in Store.seen if m == "POST" and "scroll=" in p)
+        assert sent["query"] == {"bool": {"must_not": {"term": {"n": 42}}}} == P.explain_dsl(resolve(MAPPING), where)["query"]
+        rows = http_log(spark).collect()
+        assert any(x["type"] == "GET" and x["status"] == 200 and x["reason"] == "OK" and x["url"].endswith("/docs/_mapping") for x in rows)
+        assert all("Authorization" not in x["request_headers"] for x in rows)
+        create_view(spark, "remote_docs", "docs", host="127.0.0.1", port=server.server_port)
+        assert spark.sql("SELECT count(*) FROM remote_docs WHERE n > 20").first()[0] == 2
+    finally:
+        server.shutdown()
+
+
+def test_client_keeps_its_connection_and_logs_in_at_the_proxy():
+    class Kept(Store):
+        protocol_version = "HTTP/1.1"
+        made: list = []
+
+        def setup(self):
+            super().setup()
+            Kept.made.append(1)
+
+        def do_GET(self):
+            Kept.head = dict(self.headers)
+            raw = gzip.compress(json.dumps({"docs": {"mappings": MAPPING}, "path": self.path}).encode())
+            self.send_response(200)
+            self.send_header("Content-Encoding", "gzip")
+            self.send_header("Content-Length", str(len(raw)))
+            self.end_headers()
+            self.wfile.write(raw)
+
+    server = HTTPServer(("127.0.0.1", 0), Kept)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        client = Client("127.0.0.1", server.server_port, username="u", password="p")
+        assert len([client.send("GET", "/docs/_mapping") for _ in range(3)]) == 3 and len(Kept.made) == 1
+        assert Kept.head["Authorization"] == "Basic dTpw"
+        client.close()
+        via = Client("store.invalid", 9200, proxy=f"http://me:s%40y@127.0.0.1:{server.server_port}")
+        assert via.send("GET", "/docs/_mapping")["path"] == "http://store.invalid:9200/docs/_mapping" and Kept.head["Proxy-Authorization"] == "Basic bWU6c0B5"
+        via.close()
+    finally:
+        server.shutdown()
+
+
+def test_geometry_columns_are_the_kernel(spark):
+    """Columns, which take points in arrays, against the kernel one by one."""
+    shapes = [geo.envelope(0, 0, 4, 4), geo.from_wkt("POLYGON ((0 0, 6 0, 6 6, 0 6, 0 0), (2 2, 4 2, 4 4, 2 4, 2 2))"), geo.from_wkt("LINESTRING (0 0, 4 4)"), geo.from_wkt("MULTIPOLYGON (((0 0, 1 0, 1 1, 0 0)), ((3 3, 5 3, 5 5, 3 5, 3 3)))"), geo.point(2, 2)]
+    values = [geo.point(x / 2, y / 2) for x in range(-1, 14) for y in range(-1, 14)] + shapes + [geo.from_wkt("LINESTRING (9 9, 8 8)"), geo.from_wkt("MULTIPOINT (1 1, 9 9)")]
+    df = spark.createDataFrame([(i, geo.to_wkb(g)) for i, g in enumerate(values)] + [(-1, None), (-2, b"bad")], "i int, g binary")
+    for shape in shapes:
+        for name, f in (("intersects", geo.intersects), ("disjoint", lambda a, b: not geo.intersects(a, b)), ("within", geo.within), ("contains", lambda a, b: geo.within(b, a))):
+            got = {r[0]: r[1] for r in df.select("i", geo.relation(df["g"], name, shape)).collect()}
+            assert got == {i: f(g, shape) for i, g in enumerate(values)} | {-1: None, -2: None}, (name, shape)
+    got = {r[0]: r[1] for r in df.select("i", geo.metres(df["g"], 2.5, 1.0)).collect()}
+    assert all(got[i] == pytest.approx(geo.distance(g, [2.5, 1.0])) for i, g in enumerate(values)) and got[-1] is got[-2] is None
+    assert {r[0]: r[1] for r in df.select("i", geo.as_wkt(df["g"])).collect()} == {i: geo.to_wkt(g) for i, g in enumerate(values)} | {-1: None, -2: None}
