@@ -7,7 +7,7 @@ and for each merge only the two pairs beside it change: the old ones' entries be
 join their own lists, which makes their ranks active. So a merge costs the same however long its piece is.
 
 Normalising and splitting are the vocabulary file's own steps. Each different piece is encoded once while it is
-remembered (KNOWN pieces at most), and a text's output is its pieces' in order; a text beyond the size of a slice is a
+remembered (KNOWN pieces and those of a slice at most), and a text's output is its pieces' in order; a text beyond the size of a slice is a
 slice of its own.
 
 Edge cases: a null or empty text has no tokens and decodes to the empty text; strings of special tokens in a text are
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of texts that are encoded together; pieces that a worker remembers; rank of a pair that is none.
-SLICE_CHARS, KNOWN, NONE = 4 << 20, 150_000, np.iinfo(np.int32).max
+SLICE_CHARS, KNOWN, NONE = 4 << 20, 400_000, np.iinfo(np.int32).max
 #: Texts of these characters normalise by lower() alone and split by the second pattern; others go through the library.
 _PLAIN = re.compile("[\t-\r -~À-įı-ſ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\t-\r a-z0-9À-ÖØ-öø-ſ]+").findall
@@ -186,8 +186,8 @@ class PairIndexBpe:
                 out.append((ids, " ".join(b), ids.count(" ") + 1))
             else:
                 out.append(("", "", 0))
-        if len(known) > KNOWN:
-            known.clear()
+        if len(known) > KNOWN:  # those of the latest slice stay
+            self.known = {x: known[x] for x in different}
         return out
 
 
