@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Characters of texts that are encoded together; pieces that a worker remembers; rank of a pair that is none.
-SLICE_CHARS, KNOWN, NONE = 4 << 20, 400_000, np.iinfo(np.int32).max
+SLICE_CHARS, KNOWN, NONE = 4 << 20, 250_000, np.iinfo(np.int32).max
 #: Texts of these characters normalise by lower() alone and split by the second pattern; others go through the library.
 _PLAIN = re.compile("[\t-\r -~À-įı-ſ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\t-\r a-z0-9À-ÖØ-öø-ſ]+").findall
