@@ -3,6 +3,7 @@
 import gzip
 import json
 import threading
+from decimal import Decimal
 from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
@@ -13,7 +14,8 @@ from docquarry.functions.mapping import MappingConflict, merge, resolve
 from docquarry.operators import predicates as P
 from docquarry.search import create_view, explain, http_log, search, search_remote
 from docquarry.sources import index as ix
-from docquarry.sources.remote import Client
+from docquarry.sources.remote import Client, StoreError
+from docquarry.sources.table_function import register_table_function
 
 TEXT_KEYWORD = {"type": "text", "fields": {"keyword": {"type": "keyword"}}}
 MAPPING = {"properties": {
@@ -308,3 +310,84 @@ def test_geometry_columns_are_the_kernel(spark):
     got = {r[0]: r[1] for r in df.select("i", geo.metres(df["g"], 2.5, 1.0)).collect()}
     assert all(got[i] == pytest.approx(geo.distance(g, [2.5, 1.0])) for i, g in enumerate(values)) and got[-1] is got[-2] is None
     assert {r[0]: r[1] for r in df.select("i", geo.as_wkt(df["g"])).collect()} == {i: geo.to_wkt(g) for i, g in enumerate(values)} | {-1: None, -2: None}
+
+
+def test_table_function(spark):
+    """SQL's call form: named arguments, a schema that follows from the mapping, the same values as decoding gives."""
+    server = HTTPServer(("127.0.0.1", 0), Store)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    Store.fail = 0
+    register_table_function(spark, "docs_of")
+    try:
+        call = f"docs_of(index => 'docs', host => '127.0.0.1', port => {server.server_port})"
+        rows = {x["_id"]: x for x in spark.sql(f"SELECT * FROM {call}").collect()}
+        own = {x["_id"]: x for x in search_remote(spark, "docs", "127.0.0.1", server.server_port).collect()}
+        for k, x in own.items():
+            for c in x.asDict():
+                if c == "_unmapped_":
+                    assert (json.loads(rows[k][c], parse_float=Decimal) if rows[k][c] else None) == (x[c].toPython() if x[c] else None)
+                else:
+                    assert rows[k][c] == x[c], (k, c)
+        assert spark.sql(f"SELECT sum(n) FROM {call} WHERE job.place.city = 'Rome'").first()[0] == 42
+        with pytest.raises(Exception, match="unknown arguments"):
+            spark.sql(f"SELECT * FROM docs_of(index => 'docs', host => '127.0.0.1', port => {server.server_port}, nothing => 1)").collect()
+    finally:
+        server.shutdown()
+
+
+@pytest.mark.parametrize(("name", "given", "other"), [("verify_ssl", False, True), ("timeout", 5, 6), ("max_retries", 0, 1), ("retry_interval", 1, 2), ("retry_backoff_factor", 1.5, 3.0), ("sample_size", 0, 7), ("batch_size", 10, 11), ("batch_size_threshold_factor", 2, 3), ("scroll_time", "1m", "2m")])
+def test_settings_precedence(spark, name, given, other):
+    """Argument, then session, then default; RESET brings the default back."""
+    default = settings.setting(spark, name)
+    spark.sql(f"SET docsearch.{name} = {given}")
+    try:
+        assert settings.setting(spark, name) == given == settings.current_settings(spark)[name] and settings.setting(spark, name, other) == other
+    finally:
+        spark.sql(f"RESET docsearch.{name}")
+    assert settings.setting(spark, name) == default
+
+
+def test_waits_grow(monkeypatch):
+    """Waits of 100, 200, 400 ms; other statuses are not sent again."""
+    waits, answers = [], [503, 429, 500, 200]
+    monkeypatch.setattr("docquarry.sources.remote.time.sleep", waits.append)
+    monkeypatch.setattr(Client, "once", lambda self, method, path, body: (answers.pop(0), "{}"))
+    assert Client().send("GET", "/x") == {} and waits == [0.1, 0.2, 0.4]
+    answers[:] = [404, 200]
+    with pytest.raises(StoreError, match="HTTP 404"):
+        Client().send("GET", "/x")
+    assert answers == [200]
+
+
+def test_ssl(tmp_path):
+    """A certificate that nobody vouches for is refused, unless it need not be verified."""
+    import shutil
+    import ssl
+    import subprocess
+
+    if not shutil.which("openssl"):
+        pytest.skip("needs openssl for a certificate")
+    key, cert = str(tmp_path / "key.pem"), str(tmp_path / "cert.pem")
+    subprocess.run(["openssl", "req", "-x509", "-newkey", "rsa:2048", "-nodes", "-days", "2", "-subj", "/CN=localhost", "-keyout", key, "-out", cert], check=True, capture_output=True)
+    server = HTTPServer(("127.0.0.1", 0), Store)
+    context = ssl.SSLContext(ssl.PROTOCOL_TLS_SERVER)
+    context.load_cert_chain(cert, key)
+    server.socket = context.wrap_socket(server.socket, server_side=True)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    Store.fail = 0
+    try:
+        with pytest.raises(StoreError, match="request failed"):
+            Client("127.0.0.1", server.server_port, use_ssl=True, max_retries=0).mapping("docs")
+        assert "name" in Client("127.0.0.1", server.server_port, use_ssl=True, verify_ssl=False).mapping("docs").kinds
+    finally:
+        server.shutdown()
+
+
+def test_asof_join(spark):
+    """Ties, null keys, no earlier row; against a loop."""
+    from docquarry.operators.asof import asof_join
+
+    left = [(i, k, t) for i, (k, t) in enumerate([("a", 5), ("a", 1), ("b", 7), (None, 3), ("a", None), ("c", 9), ("a", 5)])]
+    right = [("a", 2, "x"), ("a", 5, "y"), ("a", 5, "z"), ("b", 8, "w"), (None, 1, "n"), ("c", 9, None)]
+    got = asof_join(spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "k string, t int, v string"), "k", "t")
+    assert {x["i"]: (x["v"], x["t_matched"]) for x in got.collect()} == {0: ("z", 5), 1: (None, None), 2: (None, None), 3: (None, None), 4: (None, None), 5: (None, 9), 6: ("z", 5)}
