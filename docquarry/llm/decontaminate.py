@@ -19,7 +19,10 @@ A window that an item has once meets all its equals in a document. One that it h
 once, at the place that the nearest window of the first kind tells (or, without any, in order); so pairs are no more
 than places in documents.
 
-The benchmark is the stated query set: it is taken in blocks of bounded size, each broadcast in turn to all documents.
+The benchmark is the stated query set. One of at most ITEMS items and ITEM_BYTES bytes is broadcast, with the hashes of
+its windows in order. The windows of a larger one are a table: a filter of FILTER bits tells which windows of documents
+can be among its hashes, those are joined with it by hash, and documents meet only the items whose windows they hold
+enough of. Both ways give the same rows.
 
 Edge cases: null and empty texts have no terms and are clean; a null doc_id is reported as null; items without terms or
 with a null text match nothing; rows that repeat are reported each; ties between items are all reported; very long texts
@@ -37,11 +40,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
 from .textbytes import MIX, blocks, mixed, span_hashes, texts_of
 
 WINDOW, SHORT, TEMPLATE, LEAST_PLAIN, COVER = 8, 10, 5, 2, 0.7
-#: Items in a broadcast block; bytes of items in one.
-ITEMS, ITEM_BYTES = 20_000, 32 << 20
+#: Most items, and bytes of items, that are broadcast; bits of the filter of a larger benchmark's hashes, a power of two.
+ITEMS, ITEM_BYTES, FILTER = 20_000, 32 << 20, 1 << 27
 BLOCK_BYTES = 1 << 19
 #: Words that stand for units.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "hour", "minutes", "seconds", "days", "day", "years", "year", "miles", "mile", "feet", "ft", "inches", "inch", "meters", "metres", "dollars", "dollar", "euros", "euro", "cents", "usd", "eur", "percent", "degrees", "kmh", "mph")
@@ -420,24 +424,82 @@ def _rows(shared):
     return run
 
 
+def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of items (key, text): hashes of their windows, how often each, the windows' size and the item's number of terms."""
+    for batch in batches:
+        for at in range(0, len(batch), 1000):
+            part = batch.slice(at, 1000)
+            items = items_of(part.column(0).to_pylist(), part.column(1).to_pylist())
+            for z, w in items.windows.items():
+                n = np.diff(w.begin)
+                yield pa.RecordBatch.from_arrays([pa.array(w.hash.view(np.int64)), pa.array(items.ids[w.item]), pa.array(n), pa.array(np.full(len(n), z)), pa.array(items.count[w.item])], ["hash", "item", "often", "size", "terms"])
+
+
+def _document_windows(bits, sizes: list[int]):
+    """Of documents (doc_id, form, text): different hashes of windows that pass the filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passes = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            data, offsets = texts_of(batch.column(2))
+            for i, j in blocks(offsets, BLOCK_BYTES):
+                t = terms(spelled(batch.column(2).slice(i, j - i).fill_null("")))
+                for z in sizes:
+                    h, at = (np.concatenate(c) for c in zip(*_variants(t, z), strict=True))
+                    place = (h & _U(FILTER - 1)).astype(np.int64)
+                    go = passes[place >> 3] >> (place & 7).astype(np.uint8) & 1 > 0
+                    found = np.unique(np.stack([t.doc[at[go]], h[go].view(np.int64)], axis=1), axis=0)
+                    row = pa.array(found[:, 0] + i)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(found[:, 1])], ["doc_id", "form", "hash"])
+
+    return run
+
+
+def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From pairs (doc_id, form, item_id, text, item): the hits."""
+    for batch in batches:
+        out = []
+        for k, (text, item) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            _, _, share, other = matches(items_of([0], [item]), *texts_of(pa.array([text], pa.large_string())))
+            out += [(k, float(share[0]), bool(other[0]))] if len(share) else []
+        row = pa.array([x[0] for x in out], pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in range(3)), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())], ["doc_id", "form", "item_id", "coverage", "reparameterised"])
+
+
+def _joined(base: DataFrame, items: DataFrame) -> DataFrame:
+    """The hits of a benchmark of any size, by a join of window hashes."""
+    spark = base.sparkSession
+    items = kept(items.withColumn("item", F.xxhash64("item_id", "text")), "items")
+    windows = kept(items.select("item", "text").mapInArrow(_item_windows, "hash long, item long, often long, size long, terms long"), "item-windows")
+    place = F.col("hash").bitwiseAND(F.lit(FILTER - 1)) + 1
+    parts = windows.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    bits = np.zeros(FILTER // 8, np.uint8)
+    for part, raw in parts.collect():  # FILTER bits at most
+        begin = (part - 1) * 4096
+        bits[begin : begin + 4096] = np.frombuffer(bytes(raw), np.uint8)[: len(bits) - begin]
+    sizes = sorted(x[0] for x in windows.select("size").distinct().collect())  # WINDOW at most
+    rows = base.withColumn("form", F.xxhash64("text"))
+    held = rows.select("doc_id", "form", "text").mapInArrow(_document_windows(spark.sparkContext.broadcast(bits.tobytes()), sizes), "doc_id long, form long, hash long").distinct()
+    enough = F.sum("often") * F.first("size") >= F.lit(COVER) * F.first("terms")
+    pairs = held.join(windows, "hash").groupBy("doc_id", "form", "item").agg(enough.alias("enough")).where("enough").drop("enough")
+    pairs = kept(pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item"), "candidates")
+    same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["form"] == b["form"])
+    texts = rows.join(pairs.select("doc_id", "form").distinct(), same(rows, pairs), "left_semi").dropDuplicates(["doc_id", "form"])
+    met = pairs.alias("p").join(texts.alias("t"), F.expr("p.doc_id <=> t.doc_id AND p.form = t.form"))
+    hits = met.selectExpr("p.doc_id", "p.form", "p.item_id", "t.text", "p.item_text").mapInArrow(_verified, "doc_id long, form long, item_id long, coverage double, reparameterised boolean")
+    out = rows.select("doc_id", "form").alias("r").join(hits.alias("h"), F.expr("r.doc_id <=> h.doc_id AND r.form = h.form"))
+    return out.selectExpr("r.doc_id", "h.item_id", "h.coverage", "h.reparameterised")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per contaminated document and item: doc_id, item_id, coverage (share of terms), reparameterised."""
-    kind = "doc_id long, item_id long, coverage double, reparameterised boolean"
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    out, block, size = None, [], 0
-
-    def searched(rows: list) -> DataFrame:
-        shared = docs.sparkSession.sparkContext.broadcast(items_of([r[0] for r in rows], [r[1] for r in rows]))
-        return base.mapInArrow(_rows(shared), kind)
-
-    for r in benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct().orderBy("item_id", "text").toLocalIterator():
-        block.append(r)
-        size += len(r[1])
-        if len(block) >= ITEMS or size >= ITEM_BYTES:
-            out, block, size = searched(block) if out is None else out.union(searched(block)), [], 0
-    if block or out is None:
-        out = searched(block) if out is None else out.union(searched(block))
-    return out
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), "text").distinct()
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if n > ITEMS or size > ITEM_BYTES:
+        return _joined(base, items)
+    rows = items.orderBy("item_id", "text").collect()  # ITEMS items and ITEM_BYTES bytes at most
+    shared = docs.sparkSession.sparkContext.broadcast(items_of([r[0] for r in rows], [r[1] for r in rows]))
+    return base.mapInArrow(_rows(shared), "doc_id long, item_id long, coverage double, reparameterised boolean")
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -691,3 +691,18 @@ def test_stages_of_odd_rows(spark, tmp_path):
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
     assert kept["lines"] == [1, 1, 3, 4, 5, 6, 7, None] and kept["near"] == [1, 1, 3, 4, 5, 6, 7, None] and kept["decontamination"] == [4, 5, 6, 7, None]  # a row without an id is in no decision
     assert len(kept["encoding"]) == 9 and set(kept["quality"]) >= {None}
+
+
+def test_large_benchmarks_are_joined_by_hash(spark, monkeypatch):
+    """The same hits as with a broadcast benchmark, for repeated rows, null ids and items of all sizes too."""
+    g = random.Random(21)
+    term = lambda: str(g.randint(10, 99)) if g.random() < 0.2 else g.choice(WORDS)
+    items = [(k % 50, " ".join(term() for _ in range(g.choice([1, 2, 4, 6, 11, 20, 45])))) for k in range(60)] + [(99, None), (98, "")]
+    texts = [(g.choice([None, k, k // 2]), " ".join([line(12), re.sub("[0-9]+", lambda m: str(int(m[0]) + 100), x) if k % 2 else x, line(g.randint(1, 9))])) for k, (_, x) in enumerate(items * 2) if x]
+    docs = spark.createDataFrame(texts + texts[:5] + [(1, None), (2, ""), (3, line(900))], EMPTY).repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    told = lambda: sorted((str(tuple(x)) for x in decontaminate.contaminated(docs, bench).collect()))
+    want = told()
+    monkeypatch.setattr(decontaminate, "ITEMS", 3)
+    assert told() == want and len(want) > 100
+    assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
