@@ -7,7 +7,7 @@ and for each merge only the two pairs beside it change: the old ones' entries be
 join their own lists, which makes their ranks active. So a merge costs the same however long its piece is.
 
 Normalising and splitting are the vocabulary file's own steps. Each different piece is encoded once while it is
-remembered (KNOWN pieces and those of a slice at most), and a text's output is its pieces' in order; a text beyond the size of a slice is a
+remembered (KNOWN pieces and those of a slice at most; the older half is forgotten then), and a text's output is its pieces' in order; a text beyond the size of a slice is a
 slice of its own.
 
 Edge cases: a null or empty text has no tokens and decodes to the empty text; strings of special tokens in a text are
@@ -22,14 +22,18 @@ import heapq
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .textbytes import release
+
 #: Characters of texts that are encoded together; pieces that a worker remembers; rank of a pair that is none.
-SLICE_CHARS, KNOWN, NONE = 4 << 20, 250_000, np.iinfo(np.int32).max
+SLICE_CHARS, KNOWN, NONE = 1 << 20, 300_000, np.iinfo(np.int32).max
 #: Texts of these characters normalise by lower() alone and split by the second pattern; others go through the library.
 _PLAIN = re.compile("[\t-\r -~À-įı-ſ]*").fullmatch
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ſ]+|[0-9]|[^\t-\r a-z0-9À-ÖØ-öø-ſ]+").findall
@@ -72,7 +76,10 @@ class PairIndexBpe:
         last = {token: r for r, token in enumerate(self.made)}
         if any(last.get(vocab[z], -1) >= r for r, (x, y) in enumerate(merges) for z in (x, y)):
             raise ValueError("a merge comes before one that makes its parts, so ranks do not ascend")
-        self.known: dict[str, tuple[str, str]] = {}
+        #: Places of known pieces in the columns below: their ids in decimal, their decoded text, their numbers of ids.
+        self.known: dict[str, int] = {}
+        self.ids = self.decoded = pa.array([], pa.string())
+        self.count = np.zeros(0, np.int64)
 
     def occurrences(self, sym: list[int], last: list[int]) -> tuple[list[int], dict[int, list[int]]]:
         """The rank of the pair that begins at each position, and the index: each rank's positions in ascending order."""
@@ -157,39 +164,52 @@ class PairIndexBpe:
     def raw(self, piece: str) -> bytes:
         return bytes([self.byte_of[c] for c in piece[1:]]) if piece[0] == "\0" else piece.encode()
 
-    def learn(self, pieces: list[str]) -> dict[str, tuple[str, str]]:
-        """Ids in decimal and decoded text of each piece; the pieces are encoded together."""
-        out = {x: (self.decimal[self.special[x[1:]]], self.decode([self.special[x[1:]]])) for x in pieces if x[0] == "\1"}
+    def learn(self, pieces: list[str]) -> None:
+        """Adds pieces to the known ones; they are encoded together."""
+        special = [self.special[x[1:]] for x in pieces if x[0] == "\1"]
         names = [x for x in pieces if x[0] != "\1"]
         each = [self.raw(x) for x in names]
         ids, counts = self.merge_all(np.frombuffer(b"".join(each), np.uint8), np.fromiter(map(len, each), np.int64, len(each)))
-        cut = np.insert(ids, np.cumsum(counts)[:-1], len(self.tokens)).tolist() if len(names) else []
-        written = " ".join([self.decimal[i] for i in cut]).split(" \n ")
-        out.update(zip(names, zip(written, self.decode(cut).split(" \n "), strict=True), strict=False))
-        return out
+        cut = np.insert(ids, np.cumsum(counts)[:-1], len(self.tokens)).tolist() if names else []
+        split = lambda text: text.split(" \n ") if names else []
+        written = split(" ".join([self.decimal[i] for i in cut])) + [self.decimal[i] for i in special]
+        decoded = split(self.decode(cut)) + [self.decode([i]) for i in special]
+        self.known.update(zip(names + [x for x in pieces if x[0] == "\1"], range(len(self.ids), len(self.ids) + len(pieces)), strict=True))
+        self.ids, self.decoded = (pa.concat_arrays([old, pa.array(new, pa.string())]) for old, new in ((self.ids, written), (self.decoded, decoded)))
+        self.count = np.concatenate([self.count, counts, np.ones(len(special), np.int64)])
+
+    def forget(self) -> None:
+        """Leaves the newer half of the known pieces."""
+        half = len(self.ids) // 2
+        self.known = {x: at - half for x, at in self.known.items() if at >= half}
+        self.ids, self.decoded = (pa.concat_arrays([x.slice(half), pa.array([], pa.string())]) for x in (self.ids, self.decoded))
+        self.count = self.count[half:].copy()
 
     def decode(self, ids: list[int]) -> str:
         """As the library does for a file without a decoder: the tokens, joined by spaces."""
         tokens = self.signs
         return " ".join([tokens[i] for i in ids])
 
-    def run(self, texts: list[str]) -> list[tuple[str, str, int]]:
-        """Of each text: ids in decimal joined by spaces, the decoded text, the number of ids."""
+    def columns(self, texts: list[str]) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Of each text: the number of ids, the ids in decimal joined by spaces, the decoded text."""
         cut = [self.parts(x) for x in texts]
-        different, known = set().union(*cut), self.known
-        known.update(self.learn([x for x in different if x not in known]))
-        out = []
-        for pieces in cut:
-            if pieces:
-                a, b = zip(*map(known.__getitem__, pieces), strict=True)
-                ids = " ".join(a)
-                out.append((ids, " ".join(b), ids.count(" ") + 1))
-            else:
-                out.append(("", "", 0))
-        if len(known) > KNOWN:  # those of the latest slice stay
-            self.known = {x: known[x] for x in different}
+        known = self.known
+        self.learn([x for x in set().union(*cut) if x not in known])
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
+        offsets = np.concatenate([[0], np.cumsum(n)])
+        joined = lambda x: pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), x.take(pa.array(at))), " ")
+        total = np.concatenate([[0], np.cumsum(self.count[at])])
+        out = total[offsets[1:]] - total[offsets[:-1]], joined(self.ids), joined(self.decoded)
+        if len(self.ids) > KNOWN:
+            self.forget()
         return out
 
+    def run(self, texts: list[str]) -> list[tuple[str, str, int]]:
+        """Of each text: ids in decimal joined by spaces, the decoded text, the number of ids."""
+        n, ids, decoded = self.columns(texts)
+        return list(zip(ids.to_pylist(), decoded.to_pylist(), n.tolist(), strict=True))
+
 
 _models: dict[str, PairIndexBpe] = {}
 
@@ -203,10 +223,6 @@ def model_at(path: str) -> PairIndexBpe:
 def _rows(path: str):
     names = ["doc_id", "n_tokens", "ids", "decoded"]
 
-    def made(keys: pa.Array, out: list[tuple[str, str, int]]) -> pa.RecordBatch:
-        ids, decoded, n = zip(*out, strict=True)
-        return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], names)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model_at(path)
         for batch in batches:
@@ -220,12 +236,14 @@ def _rows(path: str):
                 collects = gc.isenabled()
                 gc.disable()  # nothing here is cyclic, and passes over millions of small objects cost more than the work
                 try:
-                    out = bpe.run([x or "" for x in texts[i:j]])
+                    n, ids, decoded = bpe.columns([x or "" for x in texts[i:j]])
                 finally:
                     if collects:
                         gc.enable()
-                yield made(batch.column(0).slice(i, j - i), out)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), ids, decoded], names)
                 i = j
+            del texts
+        release()
 
     return run
 
