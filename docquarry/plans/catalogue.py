@@ -281,8 +281,8 @@ _raw("geo_metres", f"SELECT _id FROM {_CUST} WHERE {_HAV} <= 4000000", lambda x,
 _raw("geo_wkt", f"SELECT _id, 'POINT (' || lon || ' ' || lat || ')' AS wkt FROM {_CUST}", lambda x, r: x.select("_id", geo.as_wkt(F.col("at")).alias("wkt")))
 _raw("geo_distance_lt", f"SELECT _id FROM {_CUST} WHERE {_HAV} < 3000000", lambda x, r: x.where(P.Distance("at", 2, 48, "<", 3000000).column(r)).select("_id"))
 _raw("geo_distance_gt", f"SELECT _id FROM {_CUST} WHERE {_HAV} > 15000000", lambda x, r: x.where(P.Distance("at", 2, 48, ">", 15000000).column(r)).select("_id"))
-_raw("geo_distance_shape", f"SELECT _id FROM {_CUST} WHERE abs(lon - 2.5) <= 1 AND abs(lat - 48.5) <= 1", lambda x, r: x.where(P.Distance("area", 2.5, 48.5, "<=", 0).column(r)).select("_id"))
-_raw("geo_contains", f"SELECT _id FROM {_CUST} WHERE abs(lon - 2.5) < 1 AND abs(lat - 48.5) < 1", lambda x, r: x.where(P.Spatial("area", "contains", geo.point(2.5, 48.5)).column(r)).select("_id"))
+_raw("geo_distance_shape", f"SELECT _id FROM {_CUST} WHERE abs(lon + 142.5) <= 1 AND abs(lat + 72.5) <= 1", lambda x, r: x.where(P.Distance("area", -142.5, -72.5, "<=", 0).column(r)).select("_id"))
+_raw("geo_contains", f"SELECT _id FROM {_CUST} WHERE abs(lon + 142.5) < 1 AND abs(lat + 72.5) < 1", lambda x, r: x.where(P.Spatial("area", "contains", geo.point(-142.5, -72.5)).column(r)).select("_id"))
 _raw("geo_shape_intersects", f"SELECT _id FROM {_CUST} WHERE lon BETWEEN -11 AND 41 AND lat BETWEEN 29 AND 61", lambda x, r: x.where(P.Spatial("area", "intersects", geo.envelope(-10, 30, 40, 60)).column(r)).select("_id"))
 _raw("geo_shape_within", f"SELECT _id FROM {_CUST} WHERE lon BETWEEN -9 AND 39 AND lat BETWEEN 31 AND 59", lambda x, r: x.where(P.Spatial("area", "within", geo.envelope(-10, 30, 40, 60)).column(r)).select("_id"))
 _raw("geo_equal", f"SELECT _id FROM {_CUST} WHERE lon = -143 AND lat = -73", lambda x, r: x.where(P.Compare("at", "=", geo.point(-143, -73)).column(r)).select("_id"))
