@@ -357,8 +357,10 @@ def columns_of(predicates: Sequence[Predicate]) -> set[str]:
 
 
 def exact(p: Predicate, r: Resolved) -> bool:
-    """Whether the store's answer to a pushed predicate is SQL's: a negated clause also matches where the field is missing."""
-    return p.fate(r) is Fate.PUSHED and "must_not" not in json.dumps(p.clause(r))
+    """Whether the store's answer to a pushed predicate is SQL's: a negated clause also matches where the field is missing,
+    and one on geometries also at the border."""
+    plain = not any(isinstance(x, (Spatial, Distance)) for x in leaves(p))
+    return plain and p.fate(r) is Fate.PUSHED and "must_not" not in json.dumps(p.clause(r))
 
 
 def split(predicates: list[Predicate], r: Resolved) -> tuple[list[Predicate], list[Predicate]]:

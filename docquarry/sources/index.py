@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import itertools
 import json
 import threading
 from collections.abc import Callable
@@ -33,8 +34,11 @@ class Index:
 class Catalog:
     """Indices by name; a pattern with * names several, a comma joins names."""
 
+    _numbers = itertools.count()
+
     def __init__(self):
         self._indices: dict[str, Index] = {}
+        self.number = next(self._numbers)  # names this catalog in the schema cache; an id() may come again
 
     def add(self, index: Index) -> None:
         self._indices[index.name] = index
@@ -99,7 +103,7 @@ def array_paths(rows: DataFrame, r: Resolved) -> frozenset[str]:
 def resolve_schema(spark: SparkSession, pattern: str, query: dict | str | None, sample_size: int, catalog: Catalog = CATALOG) -> Resolved:
     """Mappings merged, then arrays from a sample of the documents that the query matches; cached by all of these."""
     text = query if isinstance(query, str) or query is None else json.dumps(query, sort_keys=True)
-    return cached((id(catalog), pattern, text, sample_size), lambda: _resolved(spark, catalog.find(pattern), query, sample_size))
+    return cached((catalog.number, pattern, text, sample_size), lambda: _resolved(spark, catalog.find(pattern), query, sample_size))
 
 
 def cached(key: tuple, make: Callable[[], Resolved]) -> Resolved:
