@@ -19,8 +19,9 @@ allows for its sizes is refuted without error. All others are confirmed on full
 is told by the first of them alone.
 
 Edge cases: null, empty and blank texts have no shingles and are their own component; so is a null doc_id (component
-null, kept); rows that repeat a doc_id with the same text share one result; an empty table gives an empty table; other
-columns, whatever their names, are left out.
+null, kept); rows that repeat a doc_id with the same text share one result; those that repeat one with another text have
+each their own text's, and are one id in links, which each of its texts can confirm; an empty table gives an empty
+table; other columns, whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -301,7 +302,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tested = first.join(sig_of("a"), "a").join(sig_of("b"), "b").select("a", "b", "sig_a", "sig_b")
     pairs = kept(tested.mapInArrow(lambda batches: _close(batches, percent), "a long, b long"), "pairs")
     involved = shared.select(F.col("rep").alias("doc_id")).union(shared.select(F.col("first").alias("doc_id"))).distinct()
-    sets = kept(base.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
+    texts = base.join(involved, "doc_id", "left_semi").withColumn("form", F.xxhash64("text")).dropDuplicates(["doc_id", "form"])
+    sets = kept(texts.drop("form").mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
     links = kept(confirm(pairs, sets, percent), "links")
     comp = components(links)
     # Keys with classes in several components
