@@ -37,7 +37,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import kept
@@ -46,6 +46,8 @@ from .textbytes import MIX, blocks, mixed, span_hashes, texts_of
 WINDOW, SHORT, TEMPLATE, LEAST_PLAIN, COVER = 8, 10, 5, 2, 0.7
 #: Most items, and bytes of items, that are broadcast; bits of the filter of a larger benchmark's hashes, a power of two.
 ITEMS, ITEM_BYTES, FILTER = 20_000, 32 << 20, 1 << 27
+#: Items that a document is compared with at a time, if the benchmark is larger than that.
+ITEMS_TOGETHER = 1000
 BLOCK_BYTES = 1 << 19
 #: Words that stand for units.
 UNITS = ("mm", "cm", "m", "km", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hours", "hour", "minutes", "seconds", "days", "day", "years", "year", "miles", "mile", "feet", "ft", "inches", "inch", "meters", "metres", "dollars", "dollar", "euros", "euro", "cents", "usd", "eur", "percent", "degrees", "kmh", "mph")
@@ -455,14 +457,19 @@ def _document_windows(bits, sizes: list[int]):
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From pairs (doc_id, form, item_id, text, item): the hits."""
+    """From documents (doc_id, form, text, items) with some of their candidates: the hits."""
     for batch in batches:
-        out = []
-        for k, (text, item) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
-            _, _, share, other = matches(items_of([0], [item]), *texts_of(pa.array([text], pa.large_string())))
-            out += [(k, float(share[0]), bool(other[0]))] if len(share) else []
-        row = pa.array([x[0] for x in out], pa.int64())
-        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(row) for c in range(3)), pa.array([x[1] for x in out], pa.float64()), pa.array([x[2] for x in out], pa.bool_())], ["doc_id", "form", "item_id", "coverage", "reparameterised"])
+        row, ids, shares, others = [], [], [], []
+        for k in range(len(batch)):
+            met = batch.column(3)[k].as_py()
+            items = items_of([x["item_id"] for x in met], [x["item_text"] for x in met])
+            _, item, share, other = matches(items, *texts_of(pa.array([batch.column(2)[k].as_py()], pa.large_string())))
+            row += [k] * len(item)
+            ids += items.ids[item].tolist()
+            shares += share.tolist()
+            others += other.tolist()
+        at = pa.array(row, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(ids, pa.int64()), pa.array(shares, pa.float64()), pa.array(others, pa.bool_())], ["doc_id", "form", "item_id", "coverage", "reparameterised"])
 
 
 def _joined(base: DataFrame, items: DataFrame) -> DataFrame:
@@ -484,8 +491,11 @@ def _joined(base: DataFrame, items: DataFrame) -> DataFrame:
     pairs = kept(pairs.join(items.select("item", "item_id", F.col("text").alias("item_text")), "item"), "candidates")
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["form"] == b["form"])
     texts = rows.join(pairs.select("doc_id", "form").distinct(), same(rows, pairs), "left_semi").dropDuplicates(["doc_id", "form"])
-    met = pairs.alias("p").join(texts.alias("t"), F.expr("p.doc_id <=> t.doc_id AND p.form = t.form"))
-    hits = met.selectExpr("p.doc_id", "p.form", "p.item_id", "t.text", "p.item_text").mapInArrow(_verified, "doc_id long, form long, item_id long, coverage double, reparameterised boolean")
+    # a document's candidates are parted into lists, so its text is sent once for each ITEMS_TOGETHER of them
+    place = F.row_number().over(Window.partitionBy("doc_id", "form").orderBy("item"))
+    lists = pairs.withColumn("part", F.floor((place - 1) / ITEMS_TOGETHER)).groupBy("doc_id", "form", "part").agg(F.collect_list(F.struct("item_id", "item_text")).alias("items"))
+    met = lists.alias("p").join(texts.alias("t"), F.expr("p.doc_id <=> t.doc_id AND p.form = t.form"))
+    hits = met.selectExpr("p.doc_id", "p.form", "t.text", "p.items").mapInArrow(_verified, "doc_id long, form long, item_id long, coverage double, reparameterised boolean")
     out = rows.select("doc_id", "form").alias("r").join(hits.alias("h"), F.expr("r.doc_id <=> h.doc_id AND r.form = h.form"))
     return out.selectExpr("r.doc_id", "h.item_id", "h.coverage", "h.reparameterised")
 

@@ -120,6 +120,15 @@ def test_near_dedup(spark, docs):
     assert near_dedup.near_duplicates(spark.createDataFrame([], EMPTY)).count() == 0
 
 
+def test_near_dedup_of_ids_with_several_texts(spark):
+    """Each text of an id confirms its own links, whatever order the rows come in."""
+    x, y = line(80), line(80)
+    rows = [(5, x), (5, y), (5, y), (8, x + " more"), (9, y + " more"), (11, line(80))]
+    for order in (rows, rows[::-1]):
+        got = near_dedup.near_duplicates(spark.createDataFrame(order, EMPTY).repartition(3)).select("doc_id", "component_id", "kept").collect()
+        assert sorted(map(tuple, got)) == [(5, 5, True)] * 3 + [(8, 5, False), (9, 5, False), (11, 11, True)]
+
+
 def test_pigeonhole():
     """Signatures under the threshold share a key."""
     g = np.random.default_rng(3)
@@ -705,4 +714,11 @@ def test_large_benchmarks_are_joined_by_hash(spark, monkeypatch):
     want = told()
     monkeypatch.setattr(decontaminate, "ITEMS", 3)
     assert told() == want and len(want) > 100
+    everything = spark.createDataFrame([(7, " . ".join(x for _, x in items if x))], EMPTY)  # one document of all items
+    monkeypatch.setattr(decontaminate, "ITEMS_TOGETHER", 2)  # so its candidates are parted into many lists
+    whole = lambda: sorted(str(tuple(x)) for x in decontaminate.contaminated(everything, bench).collect())
+    parted = whole()
+    assert told() == want
+    monkeypatch.setattr(decontaminate, "ITEMS", 20_000)
+    assert parted == whole() and len(parted) > 30
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
