@@ -302,8 +302,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     tested = first.join(sig_of("a"), "a").join(sig_of("b"), "b").select("a", "b", "sig_a", "sig_b")
     pairs = kept(tested.mapInArrow(lambda batches: _close(batches, percent), "a long, b long"), "pairs")
     involved = shared.select(F.col("rep").alias("doc_id")).union(shared.select(F.col("first").alias("doc_id"))).distinct()
-    texts = base.join(involved, "doc_id", "left_semi").withColumn("form", F.xxhash64("text")).dropDuplicates(["doc_id", "form"])
-    sets = kept(texts.drop("form").mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
+    # ids come with one text each as a rule; sorting by a text's hash too would hold whole texts
+    of_ids = some.groupBy("doc_id").agg(*[f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("one", "two")])
+    several = of_ids.where("min_one <> max_one or min_two <> max_two").limit(1).count() > 0
+    texts = base.join(involved, "doc_id", "left_semi")
+    texts = texts.dropDuplicates(["doc_id"]) if not several else texts.withColumn("form", F.xxhash64("text")).dropDuplicates(["doc_id", "form"]).drop("form")
+    sets = kept(texts.mapInArrow(_sets, "rep long, shingles array<long>"), "sets")
     links = kept(confirm(pairs, sets, percent), "links")
     comp = components(links)
     # Keys with classes in several components
