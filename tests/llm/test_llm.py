@@ -413,6 +413,35 @@ def test_line_dedup_goes_through_fingerprints(spark):
     assert runs == {11: [(0, 11)], 12: [(1, 12)]}
 
 
+def test_line_dedup_extension_decides(spark, monkeypatch):
+    """Places meet by their fingerprint alone, and the extension tells what repeats; what the earliest place lacks goes on to later ones."""
+    g = random.Random(11)
+    pool = {line(11) for _ in range(80)}
+    hub, *others = [x[0] for x in spark.createDataFrame([(x,) for x in pool], "x string").orderBy(F.xxhash64("x")).collect()]
+    choice = [[others[3 * k + g.choice((0, 0, 1, 2))] for k in range(10)] for _ in range(40)]
+    texts = [(i, [*c[:5], hub, *c[5:]]) for i, c in enumerate(choice)]
+    texts += [(40 + k, [hub, *others[:k], *others[40 + 6 * k : 46 + 6 * k]]) for k in range(5)]  # each parts a line later than the one before
+    docs = spark.createDataFrame([(i, "\n".join(x)) for i, x in texts], EMPTY)
+    places = line_dedup.fingerprints(docs, whole=False).where(F.col("print") == F.xxhash64(F.lit(hub)))
+    assert line_dedup.pairs(places).count() == places.count() - 1 == len(texts) - 1
+    rounds, real = [], line_dedup.extend
+    monkeypatch.setattr(line_dedup, "extend", lambda met: rounds.append(1) or real(met))
+    got, whole, seen = by_id(line_dedup.remove_repeated_lines(docs, whole=False)), by_id(line_dedup.remove_repeated_lines(docs)), set()
+    assert len(rounds) > 4
+    for i, x in texts:
+        gone = set()
+        for a in range(len(x) - 4):  # five lines have 55 words
+            if tuple(x[a : a + 5]) in seen:
+                gone |= set(range(a, a + 5))
+            seen.add(tuple(x[a : a + 5]))
+        for y in (got[i], whole[i]):
+            assert y["text"] == "\n".join(z for k, z in enumerate(x) if k not in gone) and y["n_removed"] == len(gone), i
+    copies = spark.createDataFrame([(i, "\n".join(others[:6])) for i in range(2)], EMPTY)
+    assert by_id(line_dedup.remove_repeated_lines(copies, whole=False))[1]["n_removed"] == 6
+    monkeypatch.setattr(line_dedup, "extend", lambda met: real(met).withColumn("last", F.col("first") - 1))
+    assert by_id(line_dedup.remove_repeated_lines(copies, whole=False))[1]["n_removed"] == 0
+
+
 def test_near_dedup_of_hot_keys(spark, monkeypatch):
     """Keys of more classes than a block: blocks by size, hot keys broadcast, against brute force."""
     from docquarry.llm import shared
